@@ -23,13 +23,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _plain_edges(c: Column) -> Column:
+    """True for texts that start and end with a visible ASCII character."""
+    last = F.substring(c, -1, 1)
+    return (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")
+
+
 def strip_blanks(c: Column | str) -> Column:
-    return F.btrim(_col(c), F.lit(BLANKS))
+    """Strip all Unicode blanks; most texts have none and pass by two comparisons."""
+    c = _col(c)
+    return F.when(_plain_edges(c), c).otherwise(F.btrim(c, F.lit(BLANKS)))
 
 
 def clean_text(c: Column | str) -> Column:
     """Strip all Unicode blanks; an empty text becomes NULL."""
-    return F.nullif(strip_blanks(c), F.lit(""))
+    c = _col(c)
+    return F.when(_plain_edges(c), c).otherwise(F.nullif(F.btrim(c, F.lit(BLANKS)), F.lit("")))
 
 
 def sql_clean(c: Column | str) -> Column:
@@ -63,10 +72,10 @@ def default_currency(c: Column | str | None = None) -> Column:
 
 
 def resolve_or_fallback(name: Column | str, raw: Column | str | None, code: Column | str) -> Column:
-    """Non-empty catalogue name, else the raw text, else the code itself."""
+    """Non-empty catalogue name, else the cleaned raw text, else the cleaned code."""
     options = [F.nullif(_col(name), F.lit(""))]
     if raw is not None:
-        options.append(F.nullif(_col(raw), F.lit("")))
+        options.append(_col(raw))
     return F.coalesce(*options, _col(code))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aforo.contracts import FILE
 from aforo.session import path_exists, shared_dir
@@ -143,9 +144,23 @@ VIEWS = {
 STORED = ("stg_impo", "stg_expo")
 
 
-def _select(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    sources = {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TABLES}
-    for table, df in sources.items():
+# The table whose rows a staging view follows one to one, and its month.
+DRIVING = {"stg_impo": ("lineitem", "l_shipdate"), "stg_expo": ("orders", "o_orderdate")}
+SMALL_ROWS = 20_000_000
+
+
+def _source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+
+
+def _select(spark: SparkSession, sf_dir: str, name: str, by_month: bool = False) -> DataFrame:
+    for table in TABLES:
+        df = _source(spark, sf_dir, table)
+        if by_month and table == DRIVING[name][0]:
+            # Rows of one monthly file go together before they grow wide. Large
+            # tables are rebalanced, which splits a month that is too big.
+            month = F.trunc(DRIVING[name][1], "month")
+            df = df.repartition(month) if df.count() <= SMALL_ROWS else df.hint("rebalance", month)
         df.createOrReplaceTempView(table)
     return spark.sql(VIEWS[name])
 
@@ -156,7 +171,7 @@ def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     tag = hashlib.sha256(text.encode()).hexdigest()[:12]
     path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-{name}-{tag}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        _select(spark, sf_dir, name).hint("rebalance", FILE).write.mode("overwrite").partitionBy(FILE).parquet(path)
+        _select(spark, sf_dir, name, by_month=True).write.mode("overwrite").partitionBy(FILE).parquet(path)
     return path
 
 
