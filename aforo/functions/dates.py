@@ -34,6 +34,8 @@ def calendar_fields(date: Column | str) -> dict[str, Column]:
         "anio": F.coalesce(F.year(date), F.lit(0)),
         "trimestre": F.quarter(date).cast("short"),
         "mes": month.cast("short"),
-        "nombre_mes": F.element_at(F.array(*[F.lit(m) for m in MONTHS]), month),
+        "nombre_mes": F.when(
+            month.isNotNull(), F.element_at(F.array(*[F.lit(m) for m in MONTHS]), month)
+        ),
         "anio_mes": F.date_format(date, "yyyy-MM"),
     }

@@ -92,14 +92,14 @@ def assign_row_ids(positioned: DataFrame, last_id: int = 0) -> DataFrame:
     for name, rows in totals:
         starts.append((name, start))
         start += rows
-    archive = spark.createDataFrame(starts, f"{FILE} string, _start long")
+    archive = spark.createDataFrame(starts, "_archive string, _start long")
     before = (
         "sum(_rows) over (partition by archivo_origen order by _path "
         "rows between unbounded preceding and 1 preceding)"
     )
     offsets = (
         counts.withColumn("_before", F.coalesce(F.expr(before), F.lit(0)))
-        .join(F.broadcast(archive), F.col(FILE).eqNullSafe(archive[FILE]))
+        .join(F.broadcast(archive), F.col(FILE).eqNullSafe(F.col("_archive")))
         .select(F.col(FILE_PATH).alias("_offset_path"), (F.col("_start") + F.col("_before")).alias("_value"))
     )
     placed = lookup(

@@ -102,8 +102,8 @@ SELECT
   split_part('PE,EC,US,ES,NA', ',', CAST(c.c_nationkey % 5 AS INT) + 1) AS cod_pais_destino_alf,
   CAST(o.o_custkey AS STRING) AS nit_exportador,
   c.c_name AS razon_social_exportador,
-  CAST(o.o_custkey % 60 AS STRING) AS nit_declarante,
-  CASE WHEN o.o_orderkey % 7 = 0 THEN '' ELSE 'Agencia ' || CAST(o.o_custkey % 60 AS STRING) END AS razon_social_declarante,
+  CAST(o.o_custkey % 160 AS STRING) AS nit_declarante,
+  CASE WHEN o.o_orderkey % 7 = 0 THEN '' ELSE 'Agencia ' || CAST(o.o_custkey % 160 AS STRING) END AS razon_social_declarante,
   ' ' || CAST(o.o_orderkey % 12 AS STRING) AS cod_aduana_despacho,
   CASE WHEN o.o_orderkey % 4 = 0 THEN '' ELSE 'ADUANA ' || CAST(o.o_orderkey % 12 AS STRING) END AS aduana_despacho,
   lpad(CAST(o.o_orderkey % 97 AS STRING), 2, '0') || '01210000' AS subpartida,
