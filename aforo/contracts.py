@@ -8,7 +8,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FILE = "archivo_origen"
@@ -205,9 +204,9 @@ def project_contract(df: DataFrame, columns, keep=()) -> DataFrame:
     """Exactly ``columns`` as text, NULL where the input lacks one, then ``keep``."""
     present = {c.lower() for c in df.columns}
     picked = [
-        (F.col(c) if c in present else F.lit(None)).cast("string").alias(c) for c in columns
+        f"CAST({f'`{c}`' if c in present else 'NULL'} AS STRING) AS `{c}`" for c in columns
     ]
-    return df.select(*picked, *[F.col(c) for c in keep if c in present])
+    return df.selectExpr(*picked, *[f"`{c}`" for c in keep if c in present])
 
 
 def union_schema(*frames: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 
-from aforo.functions.text import strip_blanks
+from aforo.functions.text import STRIP_SQL, named, strip_blanks
 
 
 def parse_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
@@ -13,6 +13,8 @@ def parse_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Colum
     Comma decimals, digit grouping, NaN, infinities and values beyond the
     precision are NULL.
     """
+    if isinstance(c, str):
+        return named(f"try_cast({STRIP_SQL} AS decimal({precision},{scale}))", c)
     return strip_blanks(c).try_cast(f"decimal({precision},{scale})")
 
 

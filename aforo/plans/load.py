@@ -31,8 +31,7 @@ from aforo.plans.control import (
 from aforo.plans.dimensions import MEMBER_SCHEMA, RULES, candidate_members, new_members, seed_members
 from aforo.plans.extracts import by_file
 from aforo.plans.facts import SINCE, Dictionaries, build_fact
-from aforo.session import path_exists
-from aforo.sinks.tables import append, assign_row_ids, drop_files, read_table, replace_by_file, with_position
+from aforo.sinks.tables import append, assign_row_ids, drop_files, read_table, replace_by_file, stored_files, with_position
 
 MARK_SCHEMA = "proceso string, ultimo_id_procesado long, registros_totales long, fecha_actualizacion timestamp"
 
@@ -52,7 +51,7 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{table}"
 
     def staging(self, flow: Flow) -> DataFrame:
-        if not path_exists(self.spark, self.path(flow.staging)):
+        if not stored_files(self.spark, self.path(flow.staging)):
             return self.spark.createDataFrame([], T.StructType([T.StructField(FILE, T.StringType())]))
         return read_table(self.spark, self.path(flow.staging))
 

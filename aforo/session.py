@@ -14,6 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Staged file names are text even when they look like numbers or dates.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # The facts have more than a hundred columns. Their generated methods are
+    # beyond the size up to which the JVM compiles by default.
+    "spark.sql.codegen.maxFields": "300",
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

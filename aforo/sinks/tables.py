@@ -37,17 +37,28 @@ def replace_by_file(df: DataFrame, path: str, files: list[str] | None = None) ->
         drop_files(df.sparkSession, path, [f for f in files if f not in left])
 
 
-def drop_files(spark: SparkSession, path: str, files: list[str]) -> None:
-    """Remove the partitions of whole files from a table stored by file."""
-    if not files or not path_exists(spark, path):
-        return
+def _partitions(spark: SparkSession, path: str) -> dict[str, object]:
+    """File name -> folder of a table stored by file (a few hundred)."""
+    if not path_exists(spark, path):
+        return {}
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted = set(files)
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith(f"{FILE}=") and unquote(name.split("=", 1)[1]) in wanted:
-            fs.delete(status.getPath(), True)
+    folders = [status.getPath() for status in fs.listStatus(root)]
+    prefix = f"{FILE}="
+    return {unquote(f.getName()[len(prefix):]): f for f in folders if f.getName().startswith(prefix)}
+
+
+def stored_files(spark: SparkSession, path: str) -> list[str]:
+    return sorted(_partitions(spark, path))
+
+
+def drop_files(spark: SparkSession, path: str, files: list[str]) -> None:
+    """Remove the partitions of whole files from a table stored by file."""
+    folders = _partitions(spark, path) if files else {}
+    for file in files:
+        if file in folders:
+            fs = folders[file].getFileSystem(spark._jsc.hadoopConfiguration())
+            fs.delete(folders[file], True)
 
 
 def append(df: DataFrame, path: str, *partition: str) -> None:
