@@ -38,14 +38,21 @@ def union_roles(df: DataFrame, roles: list[Column], keep: list[str]) -> DataFram
     )
 
 
-def min_attrs_by_key(df: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
-    """Smallest non-NULL value of each attribute, each on its own.
+def _hash_distinct(df: DataFrame) -> DataFrame:
+    """Distinct rows, as a step the optimizer keeps.
 
-    The distinct step is a hash aggregation before the shuffle, so the sort
-    that a minimum of texts needs only sees distinct combinations.
+    A plain ``distinct`` below a minimum is dropped as redundant, and the
+    minimum of texts would then sort every input row. The test on the count
+    keeps this hash aggregation, which shrinks the data before the shuffle.
     """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
+    return counted.filter(F.col("_times") > 0).drop("_times")
+
+
+def min_attrs_by_key(df: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
+    """Smallest non-NULL value of each attribute, each on its own."""
     return (
-        df.select(*keys, *attributes).distinct()
+        _hash_distinct(df.select(*keys, *attributes))
         .groupBy(*keys).agg(*[F.min(a).alias(a) for a in attributes])
     )
 
@@ -61,7 +68,7 @@ def first_file_attrs_by_key(df: DataFrame, keys: list[str], attributes: list[str
         for a in attributes
     ]
     return (
-        df.select(*keys, FILE, *attributes).distinct()
+        _hash_distinct(df.select(*keys, FILE, *attributes))
         .groupBy(*keys).agg(F.min(FILE).alias("desde_archivo"), *first)
     )
 

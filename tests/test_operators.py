@@ -129,3 +129,8 @@ def test_control_rules(spark):
     assert (state.estado, state.registros_procesados, state.fecha_fin) == ("EN_PROCESO", 7, None)
     state = ct.control_state(events(spark, ("EN_PROCESO", None, None), ("ERROR", None, "x" * 70_000))).first()
     assert state.estado == "ERROR" and len(state.mensaje_error) == 60_000
+
+
+def test_minimum_sorts_only_distinct_rows(spark, sf):
+    plan = final_plan(dm.candidate_members(view(spark, sf, "stg_impo")))
+    assert plan.count("HashAggregate") >= 2 and plan.count("Exchange hashpartitioning") == 2
