@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from aforo.llm import exact, language, mixing, sharding
+import corpus_pipeline
+from aforo.llm import decontaminate, exact, language, mixing, paragraphs, quality, sharding, simhash, tokens, toxicity
 
 QUERIES = {f.__name__: f for f in (
-    exact.op1_exact_dedup, mixing.op3_mix_sources, language.op4_language_id, sharding.op8_extendible_shards,
-)}
-ORACLES = {"op1_exact_dedup": exact.SQL, "op8_extendible_shards": sharding.SQL}
+    exact.op1_exact_dedup, tokens.op2_token_counts, mixing.op3_mix_sources, language.op4_language_id,
+    simhash.op5_simhash_near_dedup, quality.op6_quality_neighbours, paragraphs.op7_repeated_passages,
+    sharding.op8_extendible_shards, toxicity.op9_toxicity_cnn, decontaminate.op10_benchmark_decontamination,
+)} | {"pipeline": corpus_pipeline.run}
+ORACLES = {"op1_exact_dedup": exact.SQL, "op8_extendible_shards": sharding.SQL, "op10_benchmark_decontamination": decontaminate.SQL}
