@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def in_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def in_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         start, held = 0, 0
@@ -54,6 +54,7 @@ def in_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20
             held += length
         if batch.num_rows > start:
             yield batch.slice(start)
+        pa.default_memory_pool().release_unused()
 
 
 def learning_part(doc_id: Column, parts: int) -> Column:

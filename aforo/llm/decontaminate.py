@@ -17,7 +17,7 @@ from aforo.llm.fm_index import LONGEST, FMIndex
 
 WINDOW = 10
 #: Text of a shard, and of the benchmark items broadcast together. A larger benchmark takes several passes.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 2 << 20
 ITEM_BYTES = 32 << 20
 #: Words are runs of 0-9, a-z and everything beyond ASCII, after lower-casing A-Z; all other bytes part them.
 _PART = bytes(
