@@ -124,12 +124,13 @@ def load_files(wh: Warehouse, flow: Flow, files: list[str]) -> None:
     append(
         spark.createDataFrame([(flow.fact, last + total, total, _now())], MARK_SCHEMA), wh.path("etl_checkpoint")
     )
+    # Announced before SUCCESS: a load that stops in between is run again and announces again.
+    append(outbox_rows(written, flow, _now()), wh.path("cola_indexacion"))
     seconds = time.monotonic() - began
     wh.record(control_success(
         names, flow.staging, DIMENSIONS_PHASE, _seq(), _now(), F.lit(len(RULES)), seconds
     ))
     wh.record(control_success(counts, flow.staging, FACTS_PHASE, _seq(), _now(), F.col("registros"), seconds))
-    append(outbox_rows(written, flow, _now()), wh.path("cola_indexacion"))
     drop_files(spark, wh.path(flow.staging), files)
 
 

@@ -66,9 +66,10 @@ def append(df: DataFrame, path: str, *partition: str) -> None:
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
 
 
-def purge_completed(staged: DataFrame, completed: DataFrame) -> DataFrame:
-    """Staging rows whose file is not completed (the logical form of a purge)."""
-    return staged.join(completed.select(FILE).distinct(), FILE, "left_anti")
+def purge_completed(staged: DataFrame, state: DataFrame, table: str, phase: str = "HECHOS") -> DataFrame:
+    """Staging rows left by a purge: only files whose ``phase`` of this table succeeded go."""
+    done = state.where((F.col("tabla_origen") == table) & (F.col("fase") == phase) & (F.col("estado") == "SUCCESS"))
+    return staged.join(done.select(FILE).distinct(), FILE, "left_anti")
 
 
 def write_by_year(df: DataFrame, path: str) -> None:

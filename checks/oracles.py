@@ -282,7 +282,8 @@ PENDING = """SELECT DISTINCT archivo_origen FROM stg_impo WHERE archivo_origen N
 sql("pending_anti_join", PENDING, "stg_impo", "control_events", ev=EV, st=STATE)
 sql("ordered_pending", PENDING + " ORDER BY 1", "stg_impo", "control_events", ev=EV, st=STATE)
 sql("purge_staging", """SELECT archivo_origen, numero_formulario FROM stg_impo WHERE archivo_origen NOT IN
-    (SELECT archivo_origen FROM st WHERE estado = 'SUCCESS')""", "stg_impo", "control_events", ev=EV, st=STATE)
+    (SELECT archivo_origen FROM st WHERE estado = 'SUCCESS' AND fase = 'HECHOS' AND tabla_origen = 'temporal_impo')""",
+    "stg_impo", "control_events", ev=EV, st=STATE)
 
 # ---- aggregations and sinks
 sql("distinct_values", f"""SELECT DISTINCT {C('codigo_municipio')} AS municipio, upper({C('empresa_transportadora')}) AS empresa

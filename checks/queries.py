@@ -711,8 +711,8 @@ def assign_row_ids(spark, sf):
 
 @query
 def purge_staging(spark, sf):
-    done = ct.control_state(events(spark, sf)).filter(F.col("estado") == ct.SUCCESS)
-    return tb.purge_completed(impo(spark, sf), done).select(FILE, "numero_formulario")
+    state = ct.control_state(events(spark, sf))
+    return tb.purge_completed(impo(spark, sf), state, IMPORTS.staging).select(FILE, "numero_formulario")
 
 
 @query
