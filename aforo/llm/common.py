@@ -71,14 +71,15 @@ def learning_part(doc_id: Column, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
-def bounded_part(frame: DataFrame, doc_id: str, most: int) -> DataFrame:
+def bounded_part(frame: DataFrame, doc_id: str, most: int, salt: str = "sample") -> DataFrame:
     """A sample of about ``most`` rows, spread evenly by a hash of the id.
 
     All rows when there are no more than that. The same rows every time, and
-    nothing is sorted or gathered to choose them.
+    nothing is sorted or gathered to choose them. A sample of a sample takes
+    another ``salt``: by the same hash its rows are all small already.
     """
     total = frame.count()
     if total <= most:
         return frame
     share = int(most / total * (1 << 30))
-    return frame.where(F.pmod(F.xxhash64(F.lit("sample"), doc_id), F.lit(1 << 30)) < share)
+    return frame.where(F.pmod(F.xxhash64(F.lit(salt), doc_id), F.lit(1 << 30)) < share)

@@ -133,7 +133,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> tuple[Space | None, np.nd
             x = features(batch.column("text").to_pylist()).astype(np.float16)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary())], names=["x"])
 
-    fitting = bounded_part(known, "doc_id", FIT_ROWS).select("text").mapInArrow(count, "x binary").toArrow().column("x")
+    fitting = bounded_part(known, "doc_id", FIT_ROWS, "fit").select("text").mapInArrow(count, "x binary").toArrow().column("x")
     if not len(fitting):
         return None, np.zeros((0, DIMENSIONS), np.float32), np.zeros(0)
     space = Space(np.stack([np.frombuffer(x.as_buffer(), np.float16).astype(np.float32) for x in fitting]))

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 import xxhash
 
-from aforo.llm import decontaminate, paragraphs, simhash, tokens
+from aforo.llm import common, decontaminate, paragraphs, simhash, tokens
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -88,3 +88,9 @@ def test_token_totals_by_batches(spark, tmp_path):
     assert totals.commit("3", tokens.signed(counted.where("doc_id = 1").selectExpr("doc_id", "source", "lang", "n_tokens + 5 AS n_tokens", "tokenizer")))
     got = {(r.source, r.lang): (r.documents, r.tokens) for r in totals.totals().collect()}
     assert got == {("a", "en"): (1, len(encode("one two")) + 5), ("a", None): (1, len(encode("three"))), (None, "en"): (1, 0)}
+
+
+def test_a_sample_of_a_sample_is_bounded(spark):
+    first = common.bounded_part(spark.range(100_000).withColumnRenamed("id", "doc_id"), "doc_id", 10_000)
+    second = common.bounded_part(first, "doc_id", 1_000, "fit")
+    assert 9_000 < first.count() < 11_000 and 800 < second.count() < 1_200
