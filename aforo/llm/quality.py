@@ -70,10 +70,10 @@ def _slot(shape: bytes) -> int:
 class Space:
     """Weights of features and the projection to the latent dimensions."""
 
-    def __init__(self, counts: np.ndarray):
-        seen = (counts > 0).sum(axis=0)
-        self.weight = (np.log((1 + len(counts)) / (1 + seen)) + 0.3).astype(np.float32)
-        x = self.weigh(counts)
+    def __init__(self, logs: np.ndarray):
+        seen = (logs > 0).sum(axis=0)
+        self.weight = (np.log((1 + len(logs)) / (1 + seen)) + 0.3).astype(np.float32)
+        x = self.weigh(logs)
         random = np.random.default_rng(SEED)
         size = min(DIMENSIONS + 16, *x.shape)
         basis = np.linalg.qr(x @ (x.T @ (x @ random.standard_normal((x.shape[1], size), np.float32))))[0]
@@ -81,14 +81,14 @@ class Space:
         kept = values[:DIMENSIONS] > 1e-6
         self.axes = np.ascontiguousarray(right[:DIMENSIONS][kept].T.astype(np.float32))
 
-    def weigh(self, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.weight
+    def weigh(self, logs: np.ndarray) -> np.ndarray:
+        x = logs * self.weight
         for part in (slice(0, GRAMS), slice(GRAMS, FEATURES)):
             x[:, part] /= np.maximum(np.linalg.norm(x[:, part], axis=1, keepdims=True), 1e-9)
         return x
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        v = self.weigh(counts) @ self.axes
+        v = self.weigh(np.log1p(counts)) @ self.axes
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
 
@@ -130,7 +130,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> tuple[Space | None, np.nd
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, "text", 1 << 20):
-            x = features(batch.column("text").to_pylist()).astype(np.float16)
+            # Logarithms: the counts of a very long text are beyond this type.
+            x = np.log1p(features(batch.column("text").to_pylist())).astype(np.float16)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary())], names=["x"])
 
     fitting = bounded_part(known, "doc_id", FIT_ROWS, "fit").select("text").mapInArrow(count, "x binary").toArrow().column("x")
