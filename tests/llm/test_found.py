@@ -1,12 +1,15 @@
 """SimHash, decontamination, passages and token totals against brute force on small tables."""
 
+import hashlib
 import re
 
 import duckdb
+import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from aforo.llm import common, decontaminate, paragraphs, simhash, tokens
+from aforo.llm import common, decontaminate, paragraphs, quality, simhash, tokens, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -94,3 +97,53 @@ def test_a_sample_of_a_sample_is_bounded(spark):
     first = common.bounded_part(spark.range(100_000).withColumnRenamed("id", "doc_id"), "doc_id", 10_000)
     second = common.bounded_part(first, "doc_id", 1_000, "fit")
     assert 9_000 < first.count() < 11_000 and 800 < second.count() < 1_200
+
+
+def test_unlike_texts_around_one_passage_are_all_compared(spark):
+    """One bucket of many unlike texts; what is similar in it is found however late its texts lead."""
+    random = np.random.default_rng(3)
+    common_words = [f"c{k}" for k in range(20)]
+    bodies = []
+    for k in range(70):
+        own = [f"u{k}_{j}" for j in range(int(random.integers(14, 30)))]
+        bodies.append(common_words + own)
+        if k % 7 == 0:
+            bodies += [common_words + [*own[:j], "edit", *own[j + 1:]] for j in (2, 9)]
+    names = {hashlib.md5(b" ".join(w.encode() for w in b)).digest(): b" ".join(w.encode() for w in b) for b in bodies}
+    frame = spark.createDataFrame([(bytearray(h), bytearray(b)) for h, b in names.items()], "h binary, body binary")
+    members = frame.select(F.lit(0).alias("band"), F.lit(1).cast("long").alias("key"), "h")
+    got = {frozenset((bytes(r.a), bytes(r.b))) for r in paragraphs.similar_links(frame, members).collect()}
+    want = {frozenset((a, b)) for a in names for b in names if a < b and paragraphs.similar(names[a], names[b])}
+    assert len(want) >= 20 and got <= want
+
+    def groups(pairs):
+        parent = {h: h for h in names}
+
+        def top(h):
+            while parent[h] != h:
+                h = parent[h]
+            return h
+
+        for x, y in map(sorted, pairs):
+            parent[top(y)] = top(x)
+        return {frozenset(h for h in names if top(h) == root) for root in map(top, names)}
+
+    assert groups(got) == groups(want)
+    empty = paragraphs.similar_links(frame, members.limit(0))
+    assert empty is None
+
+
+@pytest.mark.parametrize("run", [
+    lambda d, labels: quality.quality(d, labels), lambda d, labels: toxicity.toxicity(d, labels),
+    lambda d, labels: simhash.near_duplicates(d)])
+def test_odd_rows_of_scores_and_fingerprints(spark, run):
+    """Missing values, empty and very long texts, repeated rows, clashing columns, no rows, no labels."""
+    rows = [(1, "plain words here", "en", "a", 0), (1, "plain words here", "en", "a", 0), (2, "", "en", None, 0),
+            (3, None, None, None, None), (None, "no id", None, None, None), (4, "long " * 100_000, "en", "a", 0), (5, "12 !!", "en", "b", 0)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(1) for c in ("score", "label", "h", "predicted", "component_id", "fingerprint")})
+    marks = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (4, 0, 1), (4, 1, 1), (5, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for labels in (marks, marks.limit(0)):
+        got = run(docs, labels).collect()
+        assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows)
+        assert all("score" not in r or 0 <= r.score <= 1 for r in got)
+        assert run(docs.limit(0), labels).count() == 0
