@@ -32,7 +32,19 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = work_dir(spark, label)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    again = spark.read.schema(frame.schema).parquet(path)
+    again.stored_at = path
+    return again
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more; a table of another origin stays."""
+    for frame in frames:
+        path = getattr(frame, "stored_at", None)
+        if path:
+            spark = frame.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aforo.llm.common import stored
+from aforo.llm.common import discard, stored
 
 
 def _hook(edges: DataFrame, larger_only: bool) -> DataFrame:
@@ -32,12 +32,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star steps alternate until nothing changes, which
     takes a number of rounds that grows with the logarithm of the graph. Every
-    round is a stored table, so a lost executor repeats one round at most.
+    round is a stored table, so a lost executor repeats one round at most; the
+    table of the round before is deleted when the next one is complete.
     """
     current = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "cc")
     before = None
     while True:
-        current = stored(_hook(_hook(current, True), False), "cc")
+        last, current = current, stored(_hook(_hook(current, True), False), "cc")
+        discard(last)
         mark = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if mark == before:
             break
