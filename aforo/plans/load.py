@@ -7,6 +7,7 @@ SUCCESS is recorded last.
 
 from __future__ import annotations
 
+import logging
 import time
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -33,6 +34,7 @@ from aforo.plans.extracts import by_file
 from aforo.plans.facts import SINCE, Dictionaries, build_fact
 from aforo.sinks.tables import append, assign_row_ids, drop_files, read_table, replace_by_file, stored_files, with_position
 
+LOG = logging.getLogger(__name__)
 MARK_SCHEMA = "proceso string, ultimo_id_procesado long, registros_totales long, fecha_actualizacion timestamp"
 
 
@@ -88,6 +90,13 @@ def _seq() -> int:
     return time.time_ns()
 
 
+def seeded_members(wh: Warehouse) -> DataFrame:
+    """The stored members; the catch-all members go into an empty table first."""
+    if wh.members().isEmpty():
+        append(seed_members(wh.spark), wh.path("miembros"), "dim")
+    return wh.members()
+
+
 def load_files(wh: Warehouse, flow: Flow, files: list[str]) -> None:
     """Members, facts, control and outbox of the named staged files."""
     spark = wh.spark
@@ -97,10 +106,7 @@ def load_files(wh: Warehouse, flow: Flow, files: list[str]) -> None:
         wh.record(control_start(names, flow.staging, phase, _seq(), _now()))
 
     staged = by_file(wh.staging(flow), *files)
-    stored = wh.members()
-    if stored.isEmpty():
-        append(seed_members(spark), wh.path("miembros"), "dim")
-        stored = wh.members()
+    stored = seeded_members(wh)
     candidates = candidate_members(staged, first_file_wins=True)
     fresh = new_members(candidates, stored).checkpoint()
     known = stored.withColumn(SINCE, F.lit("")).unionByName(fresh)
@@ -137,16 +143,31 @@ def load_files(wh: Warehouse, flow: Flow, files: list[str]) -> None:
 def load_pending(wh: Warehouse, flow: Flow, force: list[str] = ()) -> dict[str, str]:
     """Load what is pending, plus ``force``; returns the state of each file.
 
-    All files go through one plan. If that fails, each is loaded on its own, so
-    that a bad file is marked ERROR and does not stop the others.
+    All files go through one plan. If that fails, the cause is logged and each
+    is loaded on its own, so that a bad file is marked ERROR and does not stop
+    the others. Forced files must be staged.
     """
     files = sorted({*wh.pending(flow), *force})
+    if force:
+        _check_staged(wh, flow, force)
+    return load_each(wh, flow, files)
+
+
+def _check_staged(wh: Warehouse, flow: Flow, files: list[str]) -> None:
+    unknown = sorted(set(files).difference(stored_files(wh.spark, wh.path(flow.staging))))
+    if unknown:
+        raise ValueError(f"not staged: {', '.join(unknown)}")
+
+
+def load_each(wh: Warehouse, flow: Flow, files: list[str]) -> dict[str, str]:
+    """Load these staged files and no others; returns the state of each."""
     if not files:
         return {}
     try:
         load_files(wh, flow, files)
         return dict.fromkeys(files, "SUCCESS")
     except Exception:
+        LOG.exception("loading %d files of %s together failed, each is tried alone", len(files), flow.staging)
         states = {}
         for file in files:
             try:

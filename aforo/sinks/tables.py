@@ -26,15 +26,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
 def replace_by_file(df: DataFrame, path: str, files: list[str] | None = None) -> None:
     """Put the rows of each file in ``df`` in place of the stored ones.
 
-    A file named in ``files`` that has no rows any more loses its old rows.
+    A file named in ``files`` that has no rows any more loses its old rows:
+    a partition with the same part files as before was not written.
     """
+    before = {f: _parts(df.sparkSession, p) for f, p in _partitions(df.sparkSession, path).items() if f in (files or ())}
     (
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(FILE).parquet(path)
     )
-    if files:
-        left = {r[0] for r in df.select(FILE).filter(F.col(FILE).isin(files)).distinct().collect()}
-        drop_files(df.sparkSession, path, [f for f in files if f not in left])
+    after = _partitions(df.sparkSession, path) if before else {}
+    drop_files(df.sparkSession, path, [f for f, names in before.items() if names == _parts(df.sparkSession, after[f])])
 
 
 def _partitions(spark: SparkSession, path: str) -> dict[str, object]:
@@ -48,6 +49,12 @@ def _partitions(spark: SparkSession, path: str) -> dict[str, object]:
     return {unquote(f.getName()[len(prefix):]): f for f in folders if f.getName().startswith(prefix)}
 
 
+def _parts(spark: SparkSession, folder) -> set[str]:
+    """Names of the part files; every write gives them a new identifier."""
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {status.getPath().getName() for status in fs.listStatus(folder)}
+
+
 def stored_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(_partitions(spark, path))
 

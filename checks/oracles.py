@@ -223,7 +223,11 @@ sql("dim_seed_members", "SELECT dim, codigo, subcodigo, nombre, cod_dim_pais FRO
 sql("assign_surrogate_ids", """SELECT row_number() OVER (PARTITION BY dim ORDER BY codigo, subcodigo) +
     CASE WHEN dim IN (SELECT dim FROM seeds) THEN 1 ELSE 0 END AS id, dim, codigo, subcodigo FROM m""", "stg_impo",
     roles=role_rows(*ALL_DIMS), m=BACKFILL, seeds=SEEDS)
-sql("stream_new_members", "SELECT DISTINCT dim, codigo, subcodigo FROM roles", "stg_impo", roles=role_rows(*ALL_DIMS))
+sql("stream_new_members", """SELECT row_number() OVER (PARTITION BY dim ORDER BY lote, codigo, subcodigo) AS id,
+    dim, codigo, subcodigo, nombre, direccion, telefono, cod_dim_pais FROM (
+    SELECT CASE WHEN desde_archivo < '07' THEN 1 ELSE 2 END AS lote, dim, codigo, subcodigo, nombre, direccion, telefono, cod_dim_pais FROM m
+    UNION ALL SELECT 0, dim, codigo, subcodigo, nombre, NULL, NULL, cod_dim_pais FROM seeds)""",
+    "stg_impo", roles=role_rows(*ALL_DIMS), m=FIRST_FILE, seeds=SEEDS)
 EXPO_AGENTS = f"""SELECT 'DimAgenteAduanero' AS dim, {C('nit_declarante')} AS codigo, min({C('razon_social_declarante')}) AS nombre
     FROM stg_expo WHERE {C('nit_declarante')} IS NOT NULL GROUP BY 2"""
 sql("insert_ignore", "SELECT codigo, nombre, 31 AS cod_dim_pais FROM a WHERE codigo NOT IN (SELECT codigo FROM m)",

@@ -745,22 +745,24 @@ def stream_stage_files(spark, sf):
     return project_contract(staged, EXPORTS.source, keep=(FILE,))
 
 
+def _stream_in_waves(spark, sf, name, flow, start):
+    """Stage the months to June, run the stream, stage the others, run it again from its checkpoint."""
+    wh, rows = Warehouse(spark, work_dir(spark, "warehouse")), view(spark, sf, name)
+    for wave in (F.col(FILE) < "07", F.col(FILE) >= "07"):
+        tb.replace_by_file(rows.filter(wave), wh.path(flow.staging))
+        start(wh, flow, rows.schema, wh.path("checkpoint"), max_files=1000).awaitTermination()
+    return wh
+
+
 @query
 def stream_facts_by_file(spark, sf):
-    wh = _warehouse(spark, sf, "stg_expo")
-    intake.stream_facts_by_file(
-        wh, EXPORTS, expo(spark, sf).schema, wh.path("checkpoint"), max_files=100
-    ).awaitTermination()
+    wh = _stream_in_waves(spark, sf, "stg_expo", EXPORTS, intake.stream_facts_by_file)
     return plain(wh.facts(EXPORTS).drop("id", "fecha_carga_dw"))
 
 
 @query
 def stream_new_members(spark, sf):
-    wh = _warehouse(spark, sf, "stg_impo")
-    intake.stream_new_members(
-        wh, IMPORTS, impo(spark, sf).schema, wh.path("checkpoint"), max_files=100
-    ).awaitTermination()
-    return wh.members().select("dim", "codigo", "subcodigo")
+    return _stream_in_waves(spark, sf, "stg_impo", IMPORTS, intake.stream_new_members).members()
 
 
 # ---- quality

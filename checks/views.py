@@ -146,7 +146,6 @@ STORED = ("stg_impo", "stg_expo")
 
 # The table whose rows a staging view follows one to one, and its month.
 DRIVING = {"stg_impo": ("lineitem", "l_shipdate"), "stg_expo": ("orders", "o_orderdate")}
-SMALL_ROWS = 20_000_000
 
 
 def _source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -157,10 +156,9 @@ def _select(spark: SparkSession, sf_dir: str, name: str, by_month: bool = False)
     for table in TABLES:
         df = _source(spark, sf_dir, table)
         if by_month and table == DRIVING[name][0]:
-            # Rows of one monthly file go together before they grow wide. Large
-            # tables are rebalanced, which splits a month that is too big.
-            month = F.trunc(DRIVING[name][1], "month")
-            df = df.repartition(month) if df.count() <= SMALL_ROWS else df.hint("rebalance", month)
+            # Rows of one monthly file go together before they grow wide; a
+            # month that is too big is split.
+            df = df.withColumn("_month", F.trunc(DRIVING[name][1], "month")).hint("rebalance", "_month").drop("_month")
         df.createOrReplaceTempView(table)
     return spark.sql(VIEWS[name])
 

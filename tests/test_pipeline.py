@@ -111,6 +111,22 @@ def test_one_bad_file_does_not_stop_the_others(spark, sf, monkeypatch):
     assert wh.facts(EXPORTS).count() == staged.count()
 
 
+def test_only_staged_files_can_be_forced(spark, sf):
+    wh = ld.Warehouse(spark, work_dir(spark, "test-wh"))
+    tb.replace_by_file(view(spark, sf, "stg_expo").filter(F.col(FILE) < "02"), wh.path(EXPORTS.staging))
+    with pytest.raises(ValueError, match="not staged: x.zip"):
+        ld.load_pending(wh, EXPORTS, force=["x.zip"])
+    assert wh.events().isEmpty()
+
+
+def test_replace_by_rows_of_the_same_table(spark):
+    path = work_dir(spark, "test-replace")
+    tb.replace_by_file(spark.createDataFrame([("a.zip", 1), ("b.zip", 2)], f"{FILE} string, n int"), path)
+    grown = tb.read_table(spark, path).filter("n = 1").withColumn("n", F.col("n") + 5).checkpoint()
+    tb.replace_by_file(grown, path, files=["a.zip", "b.zip"])
+    assert [tuple(r) for r in tb.read_table(spark, path).select(FILE, "n").collect()] == [("a.zip", 6)]
+
+
 def test_replace_drops_a_file_without_rows(spark):
     path = work_dir(spark, "test-replace")
     tb.replace_by_file(spark.createDataFrame([("a b.zip", 1), ("c.zip", 2)], f"{FILE} string, n int"), path)
