@@ -56,10 +56,20 @@ def test_scan(spark, folder):
     ]
 
 
-def test_a_cut_character_does_not_change_the_encoding():
+def test_a_cut_character_does_not_change_the_delimiter():
     sample = ("a;b\n" + "x;ñ\n" * 4000).encode()
     cut = next(n for n in range(8192, 8198) if sample[n - 1] == 0xC3)
-    assert ar.detect_dialect(sample[:cut]) == (";", "utf-8-sig")
+    assert ar.sample_delimiter(sample[:cut], "utf-8-sig") == ";"
+
+
+@pytest.mark.parametrize("encoding, expected", [("utf-8", "utf-8-sig"), ("latin1", "latin1")])
+def test_a_late_character_decides_the_encoding(tmp_path, encoding, expected):
+    text = "pais;n\n" + "Chile;1\n" * 200_000 + "Japón;2\n"
+    zip_of(tmp_path, "a.zip", datos__csv=text.encode(encoding))
+    with zipfile.ZipFile(tmp_path / "a.zip") as archive:
+        assert ar.member_dialect(archive, "datos.csv") == (";", expected)
+    *_, last = ar.read_chunks(str(tmp_path / "a.zip"))
+    assert last["pais"].iloc[-1] == "Japón"
 
 
 def test_stream_from_archives_to_facts(spark, folder):
