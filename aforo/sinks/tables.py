@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,22 +14,79 @@ from aforo.operators.lookup import lookup, measure
 from aforo.session import path_exists
 
 
+#: Folder of a table in which the versions of its columns are kept; readers of the table pass it over.
+COLUMNS_FOLDER = "_columnas"
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A stored table; without ``schema`` the union of all files' columns."""
+    """A stored table; without ``schema`` it has all columns recorded for it.
+
+    Files that have no such record are asked for their columns one by one.
+    """
     if not path_exists(spark, path):
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
+    schema = schema if schema is not None else recorded_columns(spark, path)
     reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
     return reader.parquet(path)
 
 
+def _versions(spark: SparkSession, path: str) -> tuple[object, list]:
+    """The file system and the record's versions, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{COLUMNS_FOLDER}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return fs, sorted((p for p in found if p.getName().endswith(".json")), key=lambda p: p.getName())
+
+
+def recorded_columns(spark: SparkSession, path: str) -> T.StructType | None:
+    """The union of the columns of all files a table ever had, by its latest record."""
+    fs, versions = _versions(spark, path)
+    if not versions:
+        return None
+    stream = fs.open(versions[-1])
+    try:
+        return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def record_columns(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Add a version to the record if ``schema`` brings columns that it lacks.
+
+    A version is a new file that only appears whole, so readers see the old
+    columns or the new ones. A column keeps the type it came with.
+    """
+    known = recorded_columns(spark, path)
+    if known is None and path_exists(spark, path) and _partitions(spark, path):
+        known = spark.read.option("mergeSchema", "true").parquet(path).schema
+    fields = {f.name: f for f in known or []}
+    fresh = [T.StructField(f.name, f.dataType) for f in schema if f.name not in fields]
+    changed = [f.name for f in schema if f.name in fields and f.dataType != fields[f.name].dataType]
+    if changed:
+        raise ValueError(f"{path} has {', '.join(changed)} with other types")
+    fs, versions = _versions(spark, path)
+    if not fresh and versions:
+        return
+    union = [f for f in [*fields.values(), *fresh] if f.name != FILE]
+    text = T.StructType([*union, T.StructField(FILE, T.StringType())]).json()
+    target = spark._jvm.org.apache.hadoop.fs.Path
+    final = f"{path}/{COLUMNS_FOLDER}/v{len(versions) + 1:08d}.json"
+    out = fs.create(target(f"{final}.part"), True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(target(f"{final}.part"), target(final))
+
+
 def replace_by_file(df: DataFrame, path: str, files: list[str] | None = None) -> None:
     """Put the rows of each file in ``df`` in place of the stored ones.
 
     A file named in ``files`` that has no rows any more loses its old rows:
-    a partition with the same part files as before was not written.
+    a partition with the same part files as before was not written. New
+    columns are recorded first, so that every stored row can be read.
     """
+    record_columns(df.sparkSession, path, df.schema)
     before = {f: _parts(df.sparkSession, p) for f, p in _partitions(df.sparkSession, path).items() if f in (files or ())}
     (
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -49,6 +107,12 @@ def _partitions(spark: SparkSession, path: str) -> dict[str, object]:
     return {unquote(f.getName()[len(prefix):]): f for f in folders if f.getName().startswith(prefix)}
 
 
+def stored_parts(spark: SparkSession, path: str, files: list[str]) -> dict[str, list[str]]:
+    """The part files of each of these files that is stored."""
+    folders = _partitions(spark, path)
+    return {f: sorted(_parts(spark, folders[f])) for f in sorted(files) if f in folders}
+
+
 def _parts(spark: SparkSession, folder) -> set[str]:
     """Names of the part files; every write gives them a new identifier."""
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())

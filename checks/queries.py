@@ -25,7 +25,7 @@ from aforo.sources import archives as ar
 from aforo.sources import periods as pr
 from aforo.sources import staging as st
 from aforo.streaming import intake
-from checks.archives import monthly_name, write_archives
+from checks.archives import LONGER, monthly_name, write_archives
 from checks.views import view
 
 QUERIES = {}
@@ -121,13 +121,25 @@ def archive_members(spark, sf):
 @query
 def scan_delimited(spark, sf):
     rows = ar.scan_archives(spark, import_archives(spark, sf))
-    return rows.withColumn(FILE, monthly_name()).drop(ar.ERROR)
+    return rows.withColumn(FILE, monthly_name())
+
+
+@query
+def skipped_lines(spark, sf):
+    """Lines with a field too many, by month; the archives have them for one customer in thirteen."""
+    longer = F.col("nit_exportador").cast("long") % 13 == 0
+    folder = write_archives(expo(spark, sf).select(FILE, "nit_exportador", "subpartida", longer.alias(LONGER)))
+    root = work_dir(spark, "skipped")
+    intake.stage_archives(ar.list_archives(spark, folder), f"{root}/temporal_expo", f"{root}/fallos")
+    noted = tb.read_table(spark, f"{root}/fallos", intake.FAILURES).groupBy(monthly_name().alias(FILE)).agg(F.sum("lineas_omitidas").alias("omitidas"))
+    staged = tb.read_table(spark, f"{root}/temporal_expo").groupBy(monthly_name().alias(FILE)).agg(F.count(F.lit(1)).alias("registros"))
+    return noted.join(staged, FILE, "full").select(FILE, F.coalesce("omitidas", F.lit(0)).alias("omitidas"), F.coalesce("registros", F.lit(0)).alias("registros"))
 
 
 @query
 def scan_xlsx(spark, sf):
     rows = ar.scan_archives(spark, export_archives(spark, sf))
-    return rows.withColumn(FILE, monthly_name()).drop(ar.ERROR)
+    return rows.withColumn(FILE, monthly_name())
 
 
 @query

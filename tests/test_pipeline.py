@@ -48,7 +48,7 @@ def test_inspection(spark, folder):
 
 
 def test_scan(spark, folder):
-    rows = ar.scan_archives(spark, str(folder)).filter(F.col(ar.ERROR).isNull()).orderBy("nit_importador").collect()
+    rows = ar.scan_archives(spark, str(folder)).orderBy("nit_importador").collect()
     got = [(r.nit_importador, r.pais_origen, r.subpartida_arancelaria, r.extra, r.valor) for r in rows]
     assert got == [
         ("1", " Japón ", "0101210000", None, None), ("2", "NA", None, None, None), ("3", None, "77", None, None),
@@ -56,20 +56,77 @@ def test_scan(spark, folder):
     ]
 
 
-def test_a_cut_character_does_not_change_the_delimiter():
-    sample = ("a;b\n" + "x;ñ\n" * 4000).encode()
-    cut = next(n for n in range(8192, 8198) if sample[n - 1] == 0xC3)
-    assert ar.sample_delimiter(sample[:cut], "utf-8-sig") == ";"
-
-
 @pytest.mark.parametrize("encoding, expected", [("utf-8", "utf-8-sig"), ("latin1", "latin1")])
-def test_a_late_character_decides_the_encoding(tmp_path, encoding, expected):
+def test_a_late_character_decides_the_encoding(spark, tmp_path, encoding, expected):
     text = "pais;n\n" + "Chile;1\n" * 200_000 + "Japón;2\n"
     zip_of(tmp_path, "a.zip", datos__csv=text.encode(encoding))
-    with zipfile.ZipFile(tmp_path / "a.zip") as archive:
-        assert ar.member_dialect(archive, "datos.csv") == (";", expected)
-    *_, last = ar.read_chunks(str(tmp_path / "a.zip"))
-    assert last["pais"].iloc[-1] == "Japón"
+    archives = ar.list_archives(spark, str(tmp_path))
+    seen = ar.inspect_archives(archives).first()
+    assert (seen.separador, seen.codificacion, seen.filas) == (";", expected, 200_001)
+    assert [r.pais for r in ar.scan_archives(spark, str(tmp_path)).where("n = '2'").collect()] == ["Japón"]
+
+
+@pytest.mark.parametrize("separator", list(ar.DELIMITERS))
+def test_records_are_parted_as_written(spark, tmp_path, separator):
+    """Quotes, doubled quotes, line breaks and separators inside them, short, long and blank lines."""
+    import csv
+    import io
+
+    rows = [["1", 'say "hi"', "a\nb"], ["2", f"x{separator}y", ""], ["3", "12\" pipe", "\t"], ["4", "NA", "null"], ["5", "\x1f", "é"]]
+    out = io.StringIO()
+    writer = csv.writer(out, delimiter=separator, lineterminator="\r\n")
+    writer.writerows([["N", "Texto", "Más"], *rows])
+    lines = out.getvalue() + "\r\n  \r\n" + separator.join(["6", 'in "the" middle']) + "\r\n" + separator.join("7abc") + "\r\n"
+    zip_of(tmp_path, "a.zip", datos__csv=lines.encode())
+    seen = ar.inspect_archives(ar.list_archives(spark, str(tmp_path))).first()
+    assert (seen.separador, seen.columnas, seen.filas, seen.lineas_largas, seen.error) == (separator, ["n", "texto", "mas"], 6, 1, None)
+    got = sorted(tuple(r) for r in ar.scan_archives(spark, str(tmp_path)).select("n", "texto", "mas").collect())
+    want = [tuple(None if c in ar.MISSING else c for c in r) for r in rows] + [("6", 'in "the" middle', None)]
+    assert got == want
+
+
+def test_a_separator_that_the_header_lacks_is_not_believed():
+    assert ar.guess_separator("a;b\n1,5;2,5\n3,5;4,5\n") == ";"
+    assert ar.guess_separator("just one\nvalue\n") == ","
+
+
+def test_an_open_quote_and_an_empty_member_are_errors(spark, tmp_path):
+    zip_of(tmp_path, "a.zip", datos__csv='a;b\n1;"x\n2;y\n')
+    zip_of(tmp_path, "b.zip", datos__csv="")
+    zip_of(tmp_path, "c.zip", datos__csv="a;b\n")
+    seen = {r[FILE]: r for r in ar.inspect_archives(ar.list_archives(spark, str(tmp_path))).collect()}
+    assert "never closed" in seen["a.zip"].error and "empty" in seen["b.zip"].error
+    assert seen["c.zip"].error is None and seen["c.zip"].filas == 0
+
+
+def test_one_large_member_is_read_by_several_tasks(spark, tmp_path):
+    zip_of(tmp_path, "a.zip", datos__csv="n;x\n" + "".join(f"{k};{'y' * 50}\n" for k in range(200_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        rows = ar.scan_archives(spark, str(tmp_path))
+        tasks = rows.select(F.spark_partition_id().alias("p"), "n").groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(tasks) > 4 and sum(r["count"] for r in tasks) == 200_000
+
+
+def test_failures_count_the_lines_left_out_and_columns_are_recorded(spark, folder):
+    wh = ld.Warehouse(spark, work_dir(spark, "test-wh"))
+    staging, failures = wh.path("temporal_impo"), wh.path("temporal_impo_fallos")
+    intake.stage_archives(ar.list_archives(spark, str(folder), "01_*.zip"), staging, failures)
+    noted = spark.read.schema(intake.FAILURES).parquet(failures).collect()
+    assert [(r[FILE][:2], r.lineas_omitidas) for r in noted] == [("01", 1)]
+    one = set(wh.staging(IMPORTS).columns)
+    intake.stage_archives(ar.list_archives(spark, str(folder), "02_*.zip"), staging, failures)
+    assert set(tb.recorded_columns(spark, staging).names) == set(wh.staging(IMPORTS).columns) == one | {"extra"}
+    assert wh.staging(IMPORTS).where("extra IS NULL").count() == 3
+    # The archive comes again without rows.
+    zip_of(folder, "02_Importaciones_2018_Febrero.zip", datos__txt="nit_importador|extra\n")
+    intake.stage_archives(ar.list_archives(spark, str(folder), "02_*.zip"), staging, failures)
+    assert [f[:2] for f in tb.stored_files(spark, staging)] == ["01"]
+    with pytest.raises(ValueError, match="other types"):
+        tb.replace_by_file(spark.createDataFrame([(1, "x.zip")], f"nit_importador int, {FILE} string"), staging)
 
 
 def test_stream_from_archives_to_facts(spark, folder):
@@ -77,7 +134,7 @@ def test_stream_from_archives_to_facts(spark, folder):
     checkpoint = wh.path("stage-checkpoint")
     intake.stream_stage_files(wh, IMPORTS, str(folder), checkpoint, max_files=2).awaitTermination()
     failures = spark.read.parquet(wh.path("temporal_impo_fallos"))
-    assert sorted(r[0][:2] for r in failures.select(FILE).collect()) == ["04", "05", "06"]
+    assert sorted(r[0][:2] for r in failures.select(FILE).collect()) == ["01", "04", "05", "06"]
     staged = wh.staging(IMPORTS)
     assert staged.count() == 6 and {"anio_proceso", "extra", "valor"} <= set(staged.columns)
     intake.stream_stage_files(wh, IMPORTS, str(folder), checkpoint).awaitTermination()
