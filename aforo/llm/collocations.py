@@ -20,9 +20,11 @@ KEEP_SHARE = 50
 TOP = 2000
 SCALE = 1_000_000
 #: Text whose words are numbered and counted together in a task.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 #: Bits of the filter that passes on frequent phrases; its size does not grow with the input.
 FILTER_BITS = 1 << 24
+#: Phrases whose checksums are computed together.
+MARKED = 1 << 14
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -70,6 +72,11 @@ def _ranked(values: pa.Array, index: np.ndarray) -> tuple[pa.Array, np.ndarray]:
 
 def _marks(langs: pa.Array, phrases: pa.Array, bits: int) -> np.ndarray:
     """A place in the filter for each phrase: a checksum of language and phrase. What meets by chance is counted in vain, not wrongly."""
+    parts = [_marks_of(langs.slice(k, MARKED), phrases.slice(k, MARKED), bits) for k in range(0, len(phrases), MARKED)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
+def _marks_of(langs: pa.Array, phrases: pa.Array, bits: int) -> np.ndarray:
     joined = pc.binary_join_element_wise(langs, phrases, pa.scalar(b"\0", pa.large_binary())).cast(pa.large_binary())
     bounds = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, joined.offset * 8)
     data = np.frombuffer(joined.buffers()[2], np.uint8) if len(joined) else np.zeros(0, np.uint8)
