@@ -1,9 +1,9 @@
 """Dictionary lookups: left joins that never drop or multiply a row.
 
 A dictionary is broadcast only when its measured size is within a bound. A
-larger one is joined by shuffle: the few keys that hold a large share of the
-rows are answered from a broadcast whose row count is bounded by construction,
-and rows with a hot or missing key are spread evenly over the shuffle.
+larger one is joined by shuffle, where rows without a key are dealt evenly and
+adaptive execution splits the partitions of keys that hold many rows. Either
+way the left side is read once.
 """
 
 from __future__ import annotations
@@ -19,9 +19,7 @@ from aforo.contracts import FILE
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 ROW_OVERHEAD = 64
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are
-# fewer than HOT_SHARE hot keys in any data.
-HOT_SHARE = 2_000
+# Rows without a key go to so many places of a shuffle.
 SPREAD = 4_096
 
 
@@ -58,6 +56,21 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def within_budget(sizes: dict[str, Size], uses: dict[str, int]) -> set[str]:
+    """The dictionaries to broadcast: the smallest first, as long as all of them together stay within the bound.
+
+    ``uses`` says how many lookups take each; every one is a broadcast of its own.
+    """
+    chosen, rows, size = set(), 0, 0
+    for name in sorted(uses, key=lambda n: (sizes.get(n, Size(0, 0)).bytes * uses[n], n)):
+        own = sizes.get(name, Size(0, 0))
+        rows, size = rows + own.rows * uses[name], size + own.bytes * uses[name]
+        if not Size(rows, size).small:
+            break
+        chosen.add(name)
+    return chosen
+
+
 def lookup(
     left: DataFrame,
     dictionary: DataFrame,
@@ -68,63 +81,36 @@ def lookup(
     small: bool,
     since: str | None = None,
     file: str = FILE,
+    collation: str | None = None,
 ) -> DataFrame:
     """Add ``as_``: the dictionary's ``value`` for the left key, or NULL.
 
     ``keys`` maps left column to dictionary column; the dictionary holds one
     row per key. With ``since``, a dictionary row counts only for left rows
-    whose file name is not before it.
+    whose file name is not before it. Under ``collation`` keys meet that it
+    holds equal, and the dictionary has one row for each of these.
     """
+    def met(c: Column) -> Column:
+        return F.collate(c, collation) if collation else c
+
     renamed = {right: f"_{as_}_{i}" for i, right in enumerate(keys.values())}
     picked = [F.col(right).alias(new) for right, new in renamed.items()]
     if since:
         picked.append(F.col(since).alias(f"_{as_}_since"))
     right = dictionary.select(*picked, F.col(value).alias(as_))
     helpers = [c for c in right.columns if c != as_]
-    key_pairs = {lk: renamed[rk] for lk, rk in keys.items()}
-    timely = [F.col(f"_{as_}_since") <= F.col(file)] if since else []
-
+    match = [met(left[lk]) == met(F.col(renamed[rk])) for lk, rk in keys.items()]
+    if since:
+        match.append(F.col(f"_{as_}_since") <= F.col(file))
     if small:
-        match = [left[lk] == F.col(rk) for lk, rk in key_pairs.items()] + timely
         return left.join(F.broadcast(right), _all(match), "left").drop(*helpers)
-    return _spread_lookup(left, right, key_pairs, as_, helpers, timely)
-
-
-def _spread_lookup(left, right, key_pairs, as_, helpers, timely) -> DataFrame:
-    left_keys = list(key_pairs)
-    bar = max(left.count() // HOT_SHARE, 1)
-    hot_keys = (
-        left.select(*left_keys).dropna()
-        .groupBy(*left_keys).count().filter(F.col("count") > bar)
-        .select(*[F.col(lk).alias(f"_hot_{rk}") for lk, rk in key_pairs.items()])
-    )
-    # At most HOT_SHARE rows: one per hot key, with its value when it has one.
-    hot = hot_keys.join(
-        right, _all([F.col(f"_hot_{rk}") == F.col(rk) for rk in key_pairs.values()]), "left"
-    ).select(
-        *[F.col(f"_hot_{rk}") for rk in key_pairs.values()],
-        *[F.col(h).alias(f"_hot{h}") for h in helpers if h.endswith("_since")],
-        F.col(as_).alias("_hot_value"), F.lit(True).alias("_is_hot"),
-    )
-    marked = left.join(
-        F.broadcast(hot), _all([left[lk] == F.col(f"_hot_{rk}") for lk, rk in key_pairs.items()]), "left"
-    )
-    aside = F.col("_is_hot").isNotNull() | reduce(
-        lambda a, b: a | b, [F.col(lk).isNull() for lk in left_keys]
-    )
-    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)).cast("string"))
-    first, *rest = left_keys
-    marked = marked.withColumn("_cold", F.when(aside, spread).otherwise(F.col(first)))
-    match = [F.col("_cold") == F.col(key_pairs[first])]
-    match += [F.coalesce(F.col(lk), F.lit("")) == F.col(key_pairs[lk]) for lk in rest]
-    hot_value = F.col("_hot_value")
-    if timely:
-        hot_value = F.when(F.col(f"_hot_{as_}_since") <= F.col(FILE), hot_value)
-    return (
-        marked.join(right, _all(match + timely), "left")
-        .withColumn(as_, F.when(F.col("_is_hot"), hot_value).otherwise(F.col(as_)))
-        .select(*left.columns, as_)
-    )
+    # A missing key meets nothing anyway, so any text may stand for it that is no key.
+    first = next(iter(keys))
+    place = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)).cast("string"))
+    dealt = left.withColumn(f"_{as_}_place", F.coalesce(F.col(first).cast("string"), place))
+    match[0] = met(F.col(f"_{as_}_place")) == met(F.col(renamed[keys[first]]).cast("string"))
+    match.append(F.col(first).isNotNull())
+    return dealt.join(right, _all(match), "left").drop(*helpers, f"_{as_}_place")
 
 
 def first_per_iso2(countries: DataFrame) -> DataFrame:

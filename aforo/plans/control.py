@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from aforo.contracts import FILE, Flow
 
 STARTED, SUCCESS, ERROR = "EN_PROCESO", "SUCCESS", "ERROR"
+STATES = (STARTED, ERROR, SUCCESS)
 DIMENSIONS_PHASE, FACTS_PHASE = "DIMENSIONES", "HECHOS"
 CONTROL_KEY = ["tabla_origen", FILE, "fase"]
 MAX_MESSAGE = 60_000
@@ -48,31 +50,48 @@ def control_state(events: DataFrame) -> DataFrame:
 
     A start clears end time and message and keeps the old row count and
     seconds; a success or an error before any start changes nothing.
+
+    The log is folded by hash aggregations of numbers and moments; texts are
+    fetched by a join back for the few events that count. ``seq`` tells the
+    events of a key apart; of equal ones the later in the order of states counts.
     """
-    started, ended = F.col("estado") == STARTED, F.col("estado") != STARTED
+    code = F.element_at(F.create_map(*[x for k, s in enumerate(STATES) for x in (F.lit(s), F.lit(k))]), F.col("estado"))
 
-    def last(condition: Column, *fields) -> Column:
-        return F.max(F.when(condition, F.struct("seq", *fields)))
+    def last(state: str | None = None) -> Column:
+        return F.max(F.when(F.col("estado") == state, F.col("seq")) if state else F.col("seq"))
 
-    message = F.left("mensaje", F.lit(MAX_MESSAGE)).alias("mensaje")
+    ended = F.max(F.when(F.col("estado") != STARTED, F.col("seq")))
     folded = events.groupBy(*CONTROL_KEY).agg(
-        F.min(F.when(started, F.col("seq"))).alias("first_start"),
-        last(started, "fecha").alias("start"),
-        last(ended, "fecha").alias("end"),
-        last(F.col("estado") == SUCCESS, "registros", "segundos").alias("success"),
-        last(F.col("estado") == ERROR, message).alias("error"),
-        last(F.lit(True), "estado").alias("last"),
+        F.min(F.when(F.col("estado") == STARTED, F.col("seq"))).alias("_first"), last(STARTED).alias("_start"), ended.alias("_end"),
+        last(SUCCESS).alias("_success"), last(ERROR).alias("_error"), last().alias("_last"),
+    ).where("_first IS NOT NULL")
+    keys = {k: f"_k_{k}" for k in CONTROL_KEY}
+    marks = folded.select(*[F.col(k).alias(n) for k, n in keys.items()], *[c for c in folded.columns if c not in CONTROL_KEY])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in keys.items()])
+    counts = F.col("seq").isin(*[F.col(c) for c in ("_start", "_end", "_success", "_error", "_last")])
+    told = events.join(marks, same & counts)
+
+    def at(mark: str, column: str | Column, when: Column | None = None) -> Column:
+        return F.max(F.when((F.col("seq") == F.col(mark)) & (F.lit(True) if when is None else when), column))
+
+    is_success, is_error = F.col("estado") == SUCCESS, F.col("estado") == ERROR
+    values = told.groupBy(*CONTROL_KEY).agg(
+        at("_last", code).alias("_code"), at("_start", F.col("fecha"), F.col("estado") == STARTED).alias("_started"),
+        at("_end", F.col("fecha"), F.col("estado") != STARTED).alias("_ended"),
+        at("_success", F.col("registros"), is_success).alias("_rows"), at("_success", F.col("segundos"), is_success).alias("_seconds"),
+        *[F.max(c).alias(c) for c in ("_first", "_start", "_end", "_success", "_error")],
     )
-    after_start = lambda event: F.col(f"{event}.seq") > F.col("start.seq")
-    counted = F.col("success.seq") > F.col("first_start")
-    return folded.filter(F.col("first_start").isNotNull()).select(
+    messages = told.where(is_error & (F.col("seq") == F.col("_error"))).select(
+        *[F.col(k).alias(n) for k, n in keys.items()], F.left("mensaje", F.lit(MAX_MESSAGE)).alias("_message"))
+    counted = F.col("_success") > F.col("_first")
+    return values.join(messages, same, "left").select(
         *CONTROL_KEY,
-        F.col("last.estado").alias("estado"),
-        F.when(counted, F.col("success.registros")).alias("registros_procesados"),
-        F.col("start.fecha").alias("fecha_inicio"),
-        F.when(after_start("end"), F.col("end.fecha")).alias("fecha_fin"),
-        F.when(counted, F.col("success.segundos")).alias("tiempo_ejecucion_seg"),
-        F.when(after_start("error"), F.col("error.mensaje")).alias("mensaje_error"),
+        F.element_at(F.array(*map(F.lit, STATES)), F.col("_code") + 1).alias("estado"),
+        F.when(counted, F.col("_rows")).alias("registros_procesados"),
+        F.col("_started").alias("fecha_inicio"),
+        F.when(F.col("_end") > F.col("_start"), F.col("_ended")).alias("fecha_fin"),
+        F.when(counted, F.col("_seconds")).alias("tiempo_ejecucion_seg"),
+        F.when(F.col("_error") > F.col("_start"), F.col("_message")).alias("mensaje_error"),
     )
 
 

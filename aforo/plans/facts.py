@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from aforo.functions import (
     surrogate_natural_key,
     upper_text,
 )
-from aforo.operators.lookup import Size, country_lookup, lookup, measure, measure_by
+from aforo.operators.lookup import Size, country_lookup, lookup, measure, measure_by, within_budget
 from aforo.session import shared_dir
 
 SINCE = "desde_archivo"
@@ -35,25 +36,41 @@ class Dictionaries:
 
     ``members`` must be stored or checkpointed, since each lookup reads it. A
     member without a name cannot change a fact, so it is left out. ``SINCE``,
-    where present, is the first file that knew the member.
+    where present, is the first file that knew the member. With ``collation``
+    (for example ``UNICODE_CI_AI``) codes meet whatever their case and accents;
+    of spellings that it holds equal the one known first counts.
     """
 
-    def __init__(self, members: DataFrame, country: int = COLOMBIA):
+    def __init__(self, members: DataFrame, country: int = COLOMBIA, collation: str | None = None):
         named = members.filter((F.col("cod_dim_pais") == country) & (F.col("nombre") != ""))
         self.since = SINCE if SINCE in members.columns else None
+        self.collation = collation
         columns = ["dim", "codigo", "subcodigo", "nombre"] + ([SINCE] if self.since else [])
         self.members = named.select(*columns)
+        if collation:
+            known = [F.col(SINCE)] if self.since else []
+            alike = [F.collate(c, collation).alias(f"_{c}") for c in ("codigo", "subcodigo")]
+            first = F.min(F.struct(*known, "codigo", "subcodigo", "nombre")).alias("row")
+            shared_dir(members.sparkSession)
+            self.members = self.members.groupBy("dim", *alike).agg(first).select("dim", "row.*").select(*columns).checkpoint()
         self.sizes = measure_by(self.members, "dim")
 
     def small(self, dim: str) -> bool:
         return self.sizes.get(dim, Size(0, 0)).small
 
-    def add_name(self, df: DataFrame, dim: str, key: str, as_: str, subkey: str | None = None) -> DataFrame:
+    def broadcast_for(self, uses: dict[str, int]) -> set[str]:
+        """The dimensions that lookups, so many of each, may broadcast together."""
+        return {dim for dim in within_budget(self.sizes, uses) if self.small(dim)}
+
+    def add_name(
+        self, df: DataFrame, dim: str, key: str, as_: str, subkey: str | None = None, small: bool | None = None
+    ) -> DataFrame:
         if dim not in self.sizes:
             return df.withColumn(as_, F.lit(None).cast("string"))
         keys = {key: "codigo", **({subkey: "subcodigo"} if subkey else {})}
         entries = self.members.filter(F.col("dim") == dim)
-        return lookup(df, entries, keys, "nombre", as_, small=self.small(dim), since=self.since)
+        small = self.small(dim) if small is None else small
+        return lookup(df, entries, keys, "nombre", as_, small=small, since=self.since, collation=self.collation)
 
 
 @dataclass(frozen=True)
@@ -181,12 +198,29 @@ def add_chapter(df: DataFrame, code: Column) -> DataFrame:
     )
 
 
+REGIME = "regimen_aduanero"
+
+
 def build_fact(
-    staged: DataFrame, dictionaries: Dictionaries, flow: Flow,
-    catalog: DataFrame | None = None, keep: tuple[str, ...] = (),
+    staged: DataFrame, dictionaries: Dictionaries | None, flow: Flow,
+    catalog: DataFrame | None = None, keep: tuple[str, ...] = (), columns: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """One typed fact row per staging row of one flow."""
-    lookups = _import_lookups() if flow is IMPORTS else _export_lookups()
+    """One typed fact row per staging row of one flow.
+
+    With ``columns`` only these are built, and only the dictionaries and
+    catalogues that they need are looked up.
+    """
+    wanted = [(n, t) for n, t in flow.fact_columns if columns is None or n in columns]
+    names = {n for n, _ in wanted}
+    unknown = sorted(set(columns or ()) - names)
+    if unknown:
+        raise ValueError(f"{flow.fact} has no columns {', '.join(unknown)}")
+    lookups = [i for i in (_import_lookups() if flow is IMPORTS else _export_lookups()) if i.target in names]
+    regime = flow is IMPORTS and REGIME in names
+    uses = Counter(i.dim for i in lookups) + Counter(["DimModalidad"] * regime)
+    if uses and dictionaries is None:
+        raise ValueError("these columns need dictionaries")
+    small = dictionaries.broadcast_for(uses) if uses else set()
     renamed = IMPORT_RENAMED if flow is IMPORTS else EXPORT_RENAMED
     df = project_contract(staged, flow.source, keep=(FILE, *keep))
     df = df.select(
@@ -195,10 +229,15 @@ def build_fact(
         country_name(flow).alias("_country_name"),
         *[item.code.alias(f"_code_{item.target}") for item in lookups],
     )
-    df = add_country(df, F.col("_country_name"), "_iso2", catalog)
-    df = add_chapter(df, clean_text(renamed["partida_arancelaria"]))
+    if flow.country_column in names:
+        df = add_country(df, F.col("_country_name"), "_iso2", catalog)
+    code = clean_text(renamed["partida_arancelaria"])
+    if "capitulo_nombre" in names:
+        df = add_chapter(df, code)
+    elif "capitulo" in names:
+        df = df.withColumn("capitulo", hs_chapter(code))
     for item in lookups:
-        df = dictionaries.add_name(df, item.dim, f"_code_{item.target}", f"_name_{item.target}")
+        df = dictionaries.add_name(df, item.dim, f"_code_{item.target}", f"_name_{item.target}", small=item.dim in small)
 
     values: dict[str, Column] = {
         item.target: resolve_or_fallback(f"_name_{item.target}", item.raw, f"_code_{item.target}")
@@ -212,15 +251,13 @@ def build_fact(
         "capitulo_nombre": F.col("capitulo_nombre"),
         FILE: F.col(FILE),
     }
-    if flow is IMPORTS:
+    if regime:
         df = df.select("*", clean_text("moda_codigo_modalidad").alias("_regime"),
                        clean_text("cod_modalidad_importacion").alias("_subregime"))
-        df = dictionaries.add_name(df, "DimModalidad", "_regime", "_regime_name", subkey="_subregime")
-        values |= {
-            "regimen_aduanero": regime_code("_regime", "_subregime", "_regime_name"),
-            "empresa_transportadora": upper_text("empresa_transportadora"),
-            "moneda": default_currency(),
-        }
+        df = dictionaries.add_name(df, "DimModalidad", "_regime", "_regime_name", subkey="_subregime", small="DimModalidad" in small)
+        values[REGIME] = regime_code("_regime", "_subregime", "_regime_name")
+    if flow is IMPORTS:
+        values |= {"empresa_transportadora": upper_text("empresa_transportadora"), "moneda": default_currency()}
     else:
         values |= {
             "modalidad_exportacion": coalesce_drift("modalidad_exportacion", "cod_modalidad_exportacion"),
@@ -229,15 +266,15 @@ def build_fact(
     return df.select(*[
         values[name].cast(kind).alias(name) if name in values
         else _typed(renamed.get(name, name), kind).alias(name)
-        for name, kind in flow.fact_columns
+        for name, kind in wanted
     ], *keep)
 
 
-def fact_importacion(staged: DataFrame, dictionaries: Dictionaries, **kw) -> DataFrame:
+def fact_importacion(staged: DataFrame, dictionaries: Dictionaries | None, **kw) -> DataFrame:
     return build_fact(staged, dictionaries, IMPORTS, **kw)
 
 
-def fact_exportacion(staged: DataFrame, dictionaries: Dictionaries, **kw) -> DataFrame:
+def fact_exportacion(staged: DataFrame, dictionaries: Dictionaries | None, **kw) -> DataFrame:
     return build_fact(staged, dictionaries, EXPORTS, **kw)
 
 

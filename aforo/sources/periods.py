@@ -42,14 +42,15 @@ def period_gaps(
     return expected.join(done, "archivo", "left_anti").orderBy(F.desc("anio"), F.desc("mes"), F.desc("flujo"))
 
 
-def ledger_latest(attempts: DataFrame, key: str, *order: str) -> DataFrame:
-    """The last attempt of every key."""
-    rest = [c for c in attempts.columns if c != key]
-    return (
-        attempts.groupBy(key)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("row"))
-        .select(key, "row.*")
-    )
+def ledger_latest(attempts: DataFrame, key: str, order: str) -> DataFrame:
+    """The last attempt of every key; ``order`` tells the attempts of a key apart.
+
+    The last one is found by a hash aggregation of ``order`` alone, and its
+    other columns by a join back.
+    """
+    last = attempts.groupBy(F.col(key).alias("_key")).agg(F.max(order).alias("_order"))
+    met = F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_order"))
+    return attempts.join(last, met, "left_semi").select(key, *[c for c in attempts.columns if c != key])
 
 
 def run_summary(attempts: DataFrame, status: str = "status") -> DataFrame:

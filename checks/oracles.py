@@ -251,6 +251,8 @@ sql("dim_lookup_join", f"""SELECT numero_formulario, a.nombre AS aduana_presenta
     "stg_impo", roles=role_rows("DimAduana", "DimImportador"), m=BACKFILL)
 sql("composite_lookup_join", f"""SELECT numero_formulario, {MOD} AS codigo, {SUB} AS subcodigo,
     CASE WHEN {SUB} = 'C100' THEN 'REGIMEN ' || {MOD} END AS nombre FROM stg_impo""", "stg_impo")
+sql("collated_lookup_join", f"""SELECT numero_formulario, {C('departamento_destino')} AS codigo, nombre FROM stg_impo LEFT JOIN (
+    SELECT {C('departamento_destino')} AS k, min({C('cod_departamento_destino')}) AS nombre FROM stg_impo GROUP BY 1) d ON k = {C('departamento_destino')}""", "stg_impo")
 FIRST_GEO = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ISO2 ORDER BY Id_DimPais) rn FROM dim_pais WHERE ISO2 IS NOT NULL) WHERE rn = 1"""
 
 
@@ -396,14 +398,18 @@ sql("stream_facts_by_file", "SELECT * FROM f", "stg_expo", m=EXPO_FIRST, ch=CHAP
 sql("trade_by_chapter", """SELECT anio, capitulo, count(*) AS n, CAST(sum(valor_fob_usd) AS DECIMAL(38,2)) AS valor_fob_usd
     FROM f GROUP BY 1, 2""", "stg_impo", **IMPO_CTES)
 sql("view_fact_alias", "SELECT anio, aduana_presentada, count(*) AS n FROM f GROUP BY 1, 2", "stg_impo", **IMPO_CTES)
-sql("fact_batch_rebuild", "SELECT archivo_origen, 'SUCCESS' AS estado, count(*) AS registros, count(*) AS ids FROM stg_impo GROUP BY 1", "stg_impo")
-sql("extract_import_by_file", f"SELECT f.*, {geo('origen')} FROM f LEFT JOIN g ON g.ISO2 = upper(f.pais_origen) "
+sql("fact_batch_rebuild", "SELECT * FROM f", "stg_impo", **IMPO_CTES)
+sql("fact_batch_states", "SELECT archivo_origen, 'SUCCESS' AS estado, count(*) AS registros, count(*) AS ids FROM stg_impo GROUP BY 1", "stg_impo")
+sql("fact_ids", """SELECT archivo_origen, n, CAST(ultimo - n + 1 AS BIGINT) AS primero, CAST(ultimo AS BIGINT) AS ultimo FROM (
+    SELECT archivo_origen, n, sum(n) OVER (ORDER BY archivo_origen) AS ultimo FROM (SELECT archivo_origen, count(*) AS n FROM stg_impo GROUP BY 1))""", "stg_impo")
+IDENTIFIED = "f.*, true AS id, true AS fecha_carga_dw"
+sql("extract_import_by_file", f"SELECT {IDENTIFIED}, {geo('origen')} FROM f LEFT JOIN g ON g.ISO2 = upper(f.pais_origen) "
     "WHERE archivo_origen = '03_Importaciones_1997_Marzo.zip'", "stg_impo", "dim_pais", **IMPO_CTES, g=FIRST_GEO)
-sql("extract_export_by_file", f"SELECT f.*, {geo('destino')} FROM f LEFT JOIN g ON g.ISO2 = upper(f.pais_destino)",
+sql("extract_export_by_file", f"SELECT {IDENTIFIED}, {geo('destino')} FROM f LEFT JOIN g ON g.ISO2 = upper(f.pais_destino)",
     "stg_impo", "stg_expo", "dim_pais", **EXPO_CTES, g=FIRST_GEO)
-sql("extract_function", f"SELECT numero_formulario, importador, valor_fob_usd, {geo('origen')} FROM f LEFT JOIN g ON g.ISO2 = upper(f.pais_origen) "
+sql("extract_function", f"SELECT {IDENTIFIED}, {geo('origen')} FROM f LEFT JOIN g ON g.ISO2 = upper(f.pais_origen) "
     "WHERE archivo_origen = '07_Importaciones_1998_Julio.zip'", "stg_impo", "dim_pais", **IMPO_CTES, g=FIRST_GEO)
-sql("search_documents", "SELECT " + ", ".join(
+sql("search_documents", "SELECT true AS id, true AS fecha_carga_dw, " + ", ".join(
     f"CAST({n} AS DOUBLE) AS {n}" if t.simpleString().startswith("decimal") else n for n, t in IMPORT_FACT if n != "archivo_origen"
 ) + ", 'colombia_importacion_' || CAST(anio AS VARCHAR) AS indice FROM f", "stg_impo", **IMPO_CTES)
 sql("stream_stage_files", "SELECT " + ", ".join(
@@ -420,6 +426,8 @@ sql("classify_columns", "SELECT columna, distintos, CASE WHEN llenado < 0.001 TH
         f"SELECT '{c}' AS columna, count(DISTINCT {C(c)}) AS distintos, count(*) AS filas, count({C(c)}) / count(*) AS llenado, "
         f"avg(CASE WHEN {C(c)} IS NOT NULL THEN CAST(TRY_CAST({C(c)} AS DECIMAL(38,10)) IS NOT NULL AND contains({c}, '.') AS INTEGER) END) AS numerico "
         "FROM stg_impo" for c in PROFILED) + ")", "stg_impo")
+sql("profile_sketches", "SELECT columna, filas, llenado, true AS cerca FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS columna, count(*) AS filas, count({C(c)}) / count(*) AS llenado FROM stg_impo" for c in PROFILED if c != "archivo_origen") + ")", "stg_impo")
 sql("iso2_coverage", f"SELECT count(*) AS filas, count(iso2) AS con_iso2, count(iso2) / count(*) AS proporcion FROM (SELECT {ISO % 'pais_origen'} AS iso2 FROM stg_impo)", "stg_impo")
 sql("iso2_unmatched", f"SELECT pais_origen, count(*) AS filas FROM stg_impo WHERE ({ISO % 'pais_origen'}) IS NULL AND pais_origen IS NOT NULL GROUP BY 1", "stg_impo")
 sql("unique_key_check", "SELECT numero_formulario, count(*) AS n FROM stg_impo GROUP BY 1 HAVING count(*) > 1", "stg_impo")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 from functools import reduce
 
@@ -18,7 +19,7 @@ from aforo.plans import control as ct
 from aforo.plans import dimensions as dm
 from aforo.plans import extracts as ex
 from aforo.plans import facts as fc
-from aforo.plans.load import Warehouse, load_pending
+from aforo.plans.load import Warehouse, load_all, load_pending
 from aforo.session import shared_dir, work_dir
 from aforo.sinks import tables as tb
 from aforo.sources import archives as ar
@@ -26,15 +27,12 @@ from aforo.sources import periods as pr
 from aforo.sources import staging as st
 from aforo.streaming import intake
 from checks.archives import LONGER, monthly_name, write_archives
-from checks.views import view
+from checks.views import VIEWS, view
 
 QUERIES = {}
 AT = datetime(2024, 5, 1, 12, 30, 0)
-PROFILED = [
-    "pais_origen", "cod_aduana_presentada", "nit_importador", "nombre_exportador", "subpartida_arancelaria",
-    "valor_fob_usd", "numero_formulario", "forma_pago", "codigo_municipio", "fecha_manifiesto",
-    "numero_identificac_export",
-]
+#: All columns of the staged imports.
+PROFILED = re.findall(r" AS (\w+)(?:,?\n|$)", VIEWS["stg_impo"].split("\nFROM ")[0] + "\n")
 
 
 def query(f):
@@ -391,6 +389,20 @@ def dim_lookup_join(spark, sf):
     return s.select("numero_formulario", "aduana_presentada", "aduana_anterior", "importador")
 
 
+@query
+def collated_lookup_join(spark, sf):
+    """Importers' names and departments, by codes whose case and accents differ from the dictionary's."""
+    s = impo(spark, sf)
+    code = fn.clean_text("departamento_destino")
+    known = s.select(code.alias("codigo"), fn.clean_text("cod_departamento_destino").alias("nombre")).dropna().groupBy("codigo").agg(F.min("nombre").alias("nombre"))
+    spelt = F.initcap(F.translate("codigo", "O", "Ó"))
+    members = known.select(
+        F.lit("DimDepartamento").alias("dim"), spelt.alias("codigo"), F.lit(None).cast("string").alias("subcodigo"), "nombre", F.lit(COLOMBIA).alias("cod_dim_pais"))
+    d = fc.Dictionaries(checkpointed(members), collation="UNICODE_CI_AI")
+    return d.add_name(s.select(FILE, "numero_formulario", code.alias("codigo")), "DimDepartamento", "codigo", "nombre").select(
+        "numero_formulario", "codigo", "nombre")
+
+
 @query
 def composite_lookup_join(spark, sf):
     s = impo(spark, sf).select(
@@ -560,7 +572,7 @@ def export_facts(spark, sf) -> DataFrame:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    small = [f.name for f in df.schema if f.dataType.simpleString() == "smallint"]
+    small = [f.name for f in df.schema if f.dataType.simpleString() in ("smallint", "tinyint")]
     return df.withColumns({c: F.col(c).cast("int") for c in small})
 
 
@@ -576,7 +588,7 @@ def fact_exportacion(spark, sf):
 
 @query
 def trade_by_chapter(spark, sf):
-    facts = import_facts(spark, sf)
+    facts = fc.fact_importacion(impo(spark, sf), None, columns=("anio", "capitulo", "valor_fob_usd"))
     return facts.groupBy("anio", "capitulo").agg(
         F.count(F.lit(1)).alias("n"), F.sum("valor_fob_usd").cast("decimal(38,2)").alias("valor_fob_usd")
     )
@@ -593,9 +605,16 @@ def _warehouse(spark, sf, *names: str) -> Warehouse:
 
 @query
 def fact_batch_rebuild(spark, sf):
+    """The stored rows of one load over all files."""
     wh = _warehouse(spark, sf, "stg_impo")
     load_pending(wh, IMPORTS)
-    done = wh.control().filter(F.col("fase") == ct.FACTS_PHASE)
+    return plain(wh.facts(IMPORTS).drop("id", "fecha_carga_dw"))
+
+
+@query
+def fact_batch_states(spark, sf):
+    wh = loaded(spark, sf)
+    done = wh.control().filter((F.col("fase") == ct.FACTS_PHASE) & (F.col("tabla_origen") == IMPORTS.staging))
     ids = wh.facts(IMPORTS).groupBy(FILE).agg(F.count_distinct("id").alias("ids"))
     return done.join(ids, FILE).select(
         FILE, "estado", F.col("registros_procesados").alias("registros"), "ids"
@@ -608,31 +627,62 @@ def view_fact_alias(spark, sf):
     return facts.groupBy("anio", "aduana_presentada").agg(F.count(F.lit(1)).alias("n"))
 
 
+_loaded: dict = {}
+
+
+def loaded(spark, sf) -> Warehouse:
+    """A warehouse with all imports and exports loaded; once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _loaded:
+        wh = _warehouse(spark, sf, "stg_impo", "stg_expo")
+        load_all(wh)
+        _loaded[key] = wh
+    return _loaded[key]
+
+
+def identified(rows: DataFrame, wh: Warehouse, flow) -> DataFrame:
+    """Ids and load times differ from run to run, so they are shown as whether they are what they must be."""
+    valid = F.col("id").between(1, wh.last_id(flow)) & F.col("fecha_carga_dw").isNotNull()
+    return rows.withColumns({"id": valid, "fecha_carga_dw": F.col("fecha_carga_dw") >= F.lit(AT)})
+
+
 @query
 def extract_import_by_file(spark, sf):
-    return plain(ex.extract_import_by_file(
-        import_facts(spark, sf), countries(spark, sf), "03_Importaciones_1997_Marzo.zip"
-    ))
+    wh = loaded(spark, sf)
+    rows = ex.extract_import_by_file(wh.facts(IMPORTS), countries(spark, sf), "03_Importaciones_1997_Marzo.zip")
+    return plain(identified(rows, wh, IMPORTS))
 
 
 @query
 def extract_export_by_file(spark, sf):
-    return plain(ex.extract_export_by_file(export_facts(spark, sf), countries(spark, sf)))
+    wh = loaded(spark, sf)
+    return plain(identified(ex.extract_export_by_file(wh.facts(EXPORTS), countries(spark, sf)), wh, EXPORTS))
 
 
 @query
 def extract_function(spark, sf):
-    import_facts(spark, sf).createOrReplaceTempView("importacion")
+    wh = loaded(spark, sf)
+    wh.facts(IMPORTS).createOrReplaceTempView("importacion")
     countries(spark, sf).createOrReplaceTempView("dim_pais")
-    name = ex.register_extract(
-        spark, IMPORTS, "importacion", "dim_pais", ["numero_formulario", "importador", "valor_fob_usd"]
-    )
-    return spark.sql(f"SELECT * FROM {name}('07_Importaciones_1998_Julio.zip')")
+    name = ex.register_extract(spark, IMPORTS, "importacion", "dim_pais")
+    rows = spark.sql(f"SELECT * FROM {name}('07_Importaciones_1998_Julio.zip')")
+    return plain(identified(rows, wh, IMPORTS))
+
+
+@query
+def fact_ids(spark, sf):
+    """Ids of the stored facts by file: dense, and in the order of the files."""
+    ids = loaded(spark, sf).facts(IMPORTS).groupBy(FILE)
+    return ids.agg(F.count_distinct("id").alias("n"), F.min("id").alias("primero"), F.max("id").alias("ultimo"))
 
 
 @query
 def search_documents(spark, sf):
-    return plain(ex.search_documents(import_facts(spark, sf)))
+    wh = loaded(spark, sf)
+    path = work_dir(spark, "documents")
+    ex.write_documents(wh.facts(IMPORTS), path)
+    stored = tb.read_table(spark, path, ex.search_documents(wh.facts(IMPORTS).limit(0)).schema)
+    return plain(identified(stored, wh, IMPORTS))
 
 
 # ---- control, sinks
@@ -794,6 +844,20 @@ def fill_rate(spark, sf):
     return q.fill_rate(impo(spark, sf), PROFILED)
 
 
+@query
+def profile_sketches(spark, sf):
+    """Exact rows and filling from the sketches of the files, and whether the estimate is within four standard errors."""
+    rows = impo(spark, sf)
+    columns = [c for c in PROFILED if c != FILE]
+    kept = work_dir(spark, "sketches")
+    for wave in (F.col(FILE) < "07", F.col(FILE) >= "07"):
+        tb.append(q.profile_sketches(rows.filter(wave), columns, FILE), kept)
+    merged = q.merge_sketches(spark.read.parquet(kept)).withColumnRenamed("distintos", "estimados")
+    exact = q.profile_cardinality(rows, columns)
+    near = F.abs(F.col("estimados") - F.col("distintos")) <= 0.033 * F.col("distintos") + 1
+    return merged.join(exact, "columna").select("columna", "filas", "llenado", near.alias("cerca"))
+
+
 @query
 def iso2_coverage(spark, sf):
     return q.iso2_coverage(located(spark, sf), "iso2")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import aforo.functions as fn
 from aforo.catalogs import HS_CHAPTERS, country_names
 from aforo.functions.text import BLANKS
+from aforo.plans.facts import add_country
 from aforo.sources.staging import drop_blank_rows, file_period, finite
 
 
@@ -65,13 +66,22 @@ def test_calendar_fields(spark):
 
 
 def test_country_catalogue(spark):
-    names = country_names(spark)
+    names = country_names()
     assert len(names) == 264 and len(set(names.values())) == 228
+    assert all(fn.fold_text(n) == n and len(c) == 2 and c.isupper() for n, c in names.items())
+    assert list(names) == sorted(names)
     folded = values(spark, ["Japón", "COREA (SUR) REPÚBLICA DE", "ZONA FRANCA CALI", "no relacionado"], fn.fold_accents("c"))
     assert [names.get(n) for n in folded] == ["JP", "KR", None, "ZZ"]
     assert "77" not in HS_CHAPTERS and len(HS_CHAPTERS) == 96
 
 
+def test_every_country_name_is_found(spark):
+    names = country_names()
+    df = spark.createDataFrame([(f" {n.title()} ",) for n in names], "c string")
+    got = {r._country: r.iso2 for r in add_country(df, fn.clean_text("c"), "iso2").withColumn("_country", fn.fold_accents("c")).collect()}
+    assert got == names
+
+
 def test_hs(spark):
     assert values(spark, ["0101210000", "7700", "7", None], fn.hs_chapter("c")) == ["01", "77", None, None]
     df = spark.createDataFrame([("0101210000",)], "c string")

@@ -199,3 +199,92 @@ def test_replace_drops_a_file_without_rows(spark):
     tb.replace_by_file(spark.createDataFrame([("a b.zip", 1), ("c.zip", 2)], f"{FILE} string, n int"), path)
     tb.replace_by_file(spark.createDataFrame([("c.zip", 3)], f"{FILE} string, n int"), path, files=["a b.zip", "c.zip"])
     assert [tuple(r) for r in tb.read_table(spark, path).select(FILE, "n").collect()] == [("c.zip", 3)]
+
+
+def contents(wh, flow):
+    """Everything a load leaves, without what names a moment or a load."""
+    by_row = [c for c in wh.facts(flow).columns if c != "fecha_carga_dw"]
+    return {
+        "facts": sorted(map(str, wh.facts(flow).select(by_row).collect())),
+        "members": sorted(map(str, wh.members().select("dim", "id", "codigo", "subcodigo", "nombre").collect())),
+        "outbox": sorted(map(str, wh.outbox().drop("fecha", "fecha_actualizacion").collect())),
+        "state": sorted(map(str, wh.control().select("tabla_origen", FILE, "fase", "estado", "registros_procesados").collect())),
+        "staged": tb.stored_files(wh.spark, wh.path(flow.staging)), "last": wh.last_id(flow),
+        "open": len(ld.open_loads(wh, flow)),
+    }
+
+
+class Stop(BaseException):
+    """The process ends; nothing after it runs."""
+
+
+@pytest.fixture(scope="module")
+def undisturbed(spark, sf):
+    files = ["01_Importaciones_1995_Enero.zip", "02_Importaciones_1995_Febrero.zip"]
+    staged = view(spark, sf, "stg_impo").filter(F.col(FILE).isin(files)).limit(40).repartition(1).checkpoint()
+    wh = ld.Warehouse(spark, work_dir(spark, "test-wh"))
+    tb.replace_by_file(staged, wh.path(IMPORTS.staging))
+    assert set(ld.load_pending(wh, IMPORTS).values()) == {"SUCCESS"}
+    want = contents(wh, IMPORTS)
+    assert want["facts"] and not want["staged"] and not want["open"]
+    return staged, want
+
+
+def test_a_load_cut_off_after_every_step_is_finished(spark, undisturbed, monkeypatch):
+    """Each run does what the one before did last, since its note is missing, and one step more."""
+    staged, want = undisturbed
+    wh = ld.Warehouse(spark, work_dir(spark, "test-wh"))
+    tb.replace_by_file(staged, wh.path(IMPORTS.staging))
+    note = ld.Load.note
+    for step in ld.STEPS:
+        def stop(self, wh, now):
+            if now == step:
+                raise Stop
+            note(self, wh, now)
+
+        monkeypatch.setattr(ld.Load, "note", stop)
+        with pytest.raises(Stop):
+            ld.load_pending(wh, IMPORTS)
+        assert len(ld.open_loads(wh, IMPORTS)) == 1
+    monkeypatch.undo()
+    assert set(ld.load_pending(wh, IMPORTS).values()) == {"SUCCESS"}
+    assert contents(wh, IMPORTS) == want
+
+
+def test_files_staged_anew_end_a_load_that_broke_off(spark, undisturbed, monkeypatch):
+    staged, _ = undisturbed
+    wh = ld.Warehouse(spark, work_dir(spark, "test-wh"))
+    tb.replace_by_file(staged, wh.path(IMPORTS.staging))
+    monkeypatch.setitem(ld.STEPS, ld.MEMBERS, lambda wh, load: (_ for _ in ()).throw(Stop))
+    with pytest.raises(Stop):
+        ld.load_pending(wh, IMPORTS)
+    monkeypatch.undo()
+    fewer = staged.filter(F.col("numero_formulario").endswith("1"))
+    tb.replace_by_file(fewer, wh.path(IMPORTS.staging))
+    assert set(ld.load_pending(wh, IMPORTS).values()) == {"SUCCESS"}
+    assert wh.facts(IMPORTS).count() == fewer.count() and not ld.open_loads(wh, IMPORTS)
+    assert wh.facts(IMPORTS).groupBy("id").count().where("count > 1").isEmpty()
+
+
+def test_a_file_that_failed_is_tried_again_by_the_stream(spark, sf, monkeypatch):
+    files = ["01_Exportaciones_1998_Enero.zip", "02_Exportaciones_1998_Febrero.zip"]
+    wh = ld.Warehouse(spark, work_dir(spark, "test-wh"))
+    rows = view(spark, sf, "stg_expo")
+    tb.replace_by_file(rows.filter(F.col(FILE).isin(files)), wh.path(EXPORTS.staging))
+    whole = ld.STEPS[ld.FACTS]
+
+    def failing(wh, load):
+        if files[0] in load.files:
+            raise ValueError("bad file")
+        whole(wh, load)
+
+    start = lambda: intake.stream_facts_by_file(wh, EXPORTS, rows.schema, wh.path("checkpoint")).awaitTermination()
+    monkeypatch.setitem(ld.STEPS, ld.FACTS, failing)
+    start()
+    state = lambda: {r[FILE]: r.estado for r in wh.control().where("fase = 'HECHOS'").collect()}
+    assert state() == {files[0]: "ERROR", files[1]: "SUCCESS"} and ld.failed_files(wh, EXPORTS) == files[:1]
+    assert ld.failed_files(wh, EXPORTS, failures=1) == []
+    monkeypatch.undo()
+    start()
+    assert (set(state().values()), ld.failed_files(wh, EXPORTS)) == ({"SUCCESS"}, [])
+    assert wh.facts(EXPORTS).count() == rows.filter(F.col(FILE).isin(files)).count()
