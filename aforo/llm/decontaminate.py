@@ -18,7 +18,7 @@ from aforo.llm.fm_index import LONGEST, FMIndex
 WINDOW = 10
 #: Text of a shard, and of the benchmark items broadcast together. A larger benchmark takes several passes.
 SHARD_BYTES = 2 << 20
-ITEM_BYTES = 32 << 20
+ITEM_BYTES = 8 << 20
 #: Words are runs of 0-9, a-z and everything beyond ASCII, after lower-casing A-Z; all other bytes part them.
 _PART = bytes(
     c + 32 if chr(c) in UPPER else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -30,24 +30,34 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Windows:
-    """The distinct windows of some benchmark items, by length, and the items each belongs to."""
+    """The distinct windows of some benchmark items, by length, and the items each belongs to.
+
+    ``groups`` holds (length, windows as sorted rows of word numbers, where each window's owners begin, owners).
+    """
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
         self.vocabulary: dict[bytes, int] = {}
         self.names = sorted({name for name, _ in items})
         number = {name: k for k, name in enumerate(self.names)}
-        owners: dict[tuple[int, ...], set[int]] = {}
+        by_size: dict[int, list[tuple[np.ndarray, int]]] = {}
         for name, text in items:
-            own = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
-            size = min(window, len(own))
-            for k in range(len(own) - size + 1 if own else 0):
-                owners.setdefault(tuple(own[k:k + size]), set()).add(number[name])
-        by_size: dict[int, list[tuple[int, ...]]] = {}
-        for w in owners:
-            by_size.setdefault(len(w), []).append(w)
-        self.groups = [
-            (size, np.array(ws, np.int32), [np.array(sorted(owners[w]), np.int32) for w in ws]) for size, ws in sorted(by_size.items())
-        ]
+            own = words(text)
+            if own:
+                own = np.fromiter((self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in own), np.int32, len(own))
+                size = min(window, len(own))
+                by_size.setdefault(size, []).append((np.lib.stride_tricks.sliding_window_view(own, size), number[name]))
+        self.groups = []
+        for size, parts in sorted(by_size.items()):
+            rows = np.concatenate([w for w, _ in parts])
+            owners = np.repeat(np.array([k for _, k in parts], np.int32), [len(w) for w, _ in parts])
+            order = np.lexsort((owners, *rows.T[::-1]))
+            rows, owners = rows[order], owners[order]
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+            fresh = new.copy()
+            fresh[1:] |= owners[1:] != owners[:-1]  # an item may have a window twice
+            begins = np.append(np.cumsum(fresh)[new] - 1, fresh.sum())
+            self.groups.append((size, rows[new], begins, owners[fresh]))
 
 
 def search_shard(texts: list[str | None], windows: Windows) -> list[tuple[int, np.ndarray, list[str]]]:
@@ -68,11 +78,11 @@ def search_shard(texts: list[str | None], windows: Windows) -> list[tuple[int, n
     change = np.zeros(len(sequence) + 1, np.int64)
     items: dict[int, set[int]] = {}
     # A sequence beyond one index (one huge text) is indexed in pieces that overlap by a window.
-    overlap = max((size for size, _, _ in windows.groups), default=1)
+    overlap = max((size for size, *_ in windows.groups), default=1)
     for begin in range(0, len(positions), LONGEST - 4 - overlap):
         piece = positions[begin:begin + LONGEST - 4]
         index = FMIndex(np.append(sequence[piece], np.int32(0)), len(windows.vocabulary))
-        for size, patterns, owners in windows.groups:
+        for size, patterns, firsts, owners in windows.groups:
             low, high = index.search(patterns)
             met = np.flatnonzero(low < high)
             if not len(met):
@@ -85,7 +95,7 @@ def search_shard(texts: list[str | None], windows: Windows) -> list[tuple[int, n
             np.add.at(change, at + size, -1)
             doc = np.searchsorted(begins, at, side="right") - 1
             for d, w in np.unique(np.stack([doc, which]), axis=1).T:
-                items.setdefault(int(d), set()).update(owners[w].tolist())
+                items.setdefault(int(d), set()).update(owners[firsts[w]:firsts[w + 1]].tolist())
     hit = np.cumsum(change) > 0
     return [
         (size, hit[begins[k]:begins[k] + size], [windows.names[i] for i in sorted(items.get(k, ()))])
@@ -93,13 +103,14 @@ def search_shard(texts: list[str | None], windows: Windows) -> list[tuple[int, n
     ]
 
 
-def item_blocks(benchmark: DataFrame) -> list[list[tuple[str, str]]]:
-    """The benchmark in blocks of bounded size; its size is asked for before anything is fetched."""
+def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
+    """The benchmark in blocks of bounded size, one at a time; its size is asked for before anything is fetched."""
     items = benchmark.where("text IS NOT NULL").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + size // ITEM_BYTES
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    return [[(r.item_id, r.text) for r in items.where(block == k).collect()] for k in range(parts)]
+    for k in range(parts):
+        yield [(r.item_id, r.text) for r in items.where(block == k).collect()]
 
 
 HITS = T.StructType([
@@ -179,7 +190,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     n_chars, where there is such a column, follows the text. Documents without
     a passage pass unchanged, also those without text.
     """
-    names, schema = docs.columns, docs.schema
+    schema = docs.schema
+    # Under names of their own no column can be taken for one of the search's.
+    names = [n if n == "text" else f"c{k}" for k, n in enumerate(docs.columns)]
+    sized = next((names[k] for k, n in enumerate(docs.columns) if n == "n_chars"), None)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, "text"):
@@ -191,13 +205,13 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 texts.append(cut_spans(text, hit) if hit.any() and stays[-1] else text)
             columns = dict(zip(names, batch.columns))
             columns["text"] = pa.array(texts, columns["text"].type)
-            if "n_chars" in columns:
-                old = columns["n_chars"]
+            if sized:
+                old = columns[sized]
                 changed = [len(t) if t is not None and t is not u and t != u else None for t, u in zip(texts, batch.column("text").to_pylist())]
-                columns["n_chars"] = pa.array([n if c is None else c for n, c in zip(old.to_pylist(), changed)], old.type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names).filter(pa.array(stays, pa.bool_()))
+                columns[sized] = pa.array([n if c is None else c for n, c in zip(old.to_pylist(), changed)], old.type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=schema.names).filter(pa.array(stays, pa.bool_()))
 
-    return find_passages(docs, benchmark).mapInArrow(cut, schema)
+    return find_passages(docs.toDF(*names), benchmark).mapInArrow(cut, schema)
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

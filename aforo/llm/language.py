@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,6 @@ TRAINING_ROWS = 20_000
 CELLS = 1 << 24
 SMOOTHING = 0.5
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +86,7 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 def predict(texts: list[str | None], langs: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
     """The likeliest language of each text and its probability."""
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    known = [k for k, t in enumerate(texts) if t and LETTER.search(t)]
+    known = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))]
     if not known or not langs:
         return names, scores
     found, starts = grams([texts[k] for k in known])
@@ -122,6 +120,18 @@ def identify(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame
     return docs.mapInArrow(scored, schema)
 
 
+def in_known_language(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
+    """The documents for which a language is found, as they are, whatever their columns are called."""
+    model = docs.sparkSession.sparkContext.broadcast((langs, matrix))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_bytes(batches, "text", 1 << 20):
+            found, _ = predict(batch.column("text").to_pylist(), *model.value)
+            yield batch.filter(pa.array([f != UNKNOWN for f in found], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def held_out(doc_id):
     return learning_part(doc_id, 3) == 1
 

@@ -109,13 +109,17 @@ def held_out(doc_id):
     return learning_part(doc_id, 5) == 0
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of the rows to learn from; a repeated or contradicted label counts by its mean."""
-    marks = (
+def marks_to_learn(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the rows that are not held out; a repeated or contradicted label counts by its mean."""
+    return (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.round(F.avg(label)).cast("int").alias("label"))
     )
-    return marks.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "text", "label")
+
+
+def labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of the marked documents. ``marks`` is a sample of bounded size, so that no text is moved."""
+    return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("doc_id", "text", "label")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> tuple[Space | None, np.ndarray, np.ndarray]:
@@ -124,8 +128,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> tuple[Space | None, np.nd
     The space is fitted at the driver on FIT_ROWS feature vectors. The voters
     are projected by tasks, so the driver gets 64 numbers for each.
     """
-    marks = bounded_part(labels.select("doc_id", "quality"), "doc_id", VOTERS * 5 // 4)
-    known = labelled(docs, marks, "quality").select("doc_id", "text", "label")
+    known = labelled(docs, bounded_part(marks_to_learn(labels, "quality"), "doc_id", VOTERS))
     spark = docs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
