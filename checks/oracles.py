@@ -6,6 +6,7 @@ import re
 
 from aforo.catalogs import HS_CHAPTERS
 from aforo.contracts import EXPORT_FACT, EXPORT_SOURCE, IMPORT_FACT, IMPORT_SOURCE
+from aforo.plans.facts import EXPORT_RENAMED, IMPORT_RENAMED
 from checks.queries import DIM_QUERIES, PROFILED
 from checks.views import MONTH_LIST, VIEWS
 
@@ -395,6 +396,43 @@ EXPO_CTES = {"roles": role_rows(*ALL_DIMS), "m0": FIRST_FILE, "a": EXPO_FIRST, "
 sql("fact_importacion", "SELECT * FROM f", "stg_impo", **IMPO_CTES)
 sql("fact_exportacion", "SELECT * FROM f", "stg_impo", "stg_expo", **EXPO_CTES)
 sql("stream_facts_by_file", "SELECT * FROM f", "stg_expo", m=EXPO_FIRST, ch=CHAPTERS, f=FACT_EXPO)
+
+
+def _plain(fact, renamed: dict[str, str], known: dict[str, str], resolved: dict) -> dict[str, str]:
+    """Fact columns that are cleaned or parsed copies of one staged column."""
+    out = {}
+    for name, kind in fact:
+        if name not in known and name not in resolved:
+            text, c = kind.simpleString(), renamed.get(name, name)
+            out[name] = DEC(c, kind.precision, kind.scale) if text.startswith("decimal") else INT(c) if text == "int" else C(c)
+    return out
+
+
+IMPO_ALL = {**IMPO_RESOLVED, "aduana_exportacion": ("DimAduana", C("cod_aduana_export"), "NULL")}
+IMPO_ALL["agente_aduanero"] = (*IMPO_RESOLVED["agente_aduanero"][:2], f"coalesce({C('nombre_declarante')}, {C('razon_social_declarante')})")
+EXPO_ALL = {
+    **EXPO_RESOLVED, "aduana_salida": ("DimAduana", C("cod_aduana_salida"), C("aduana_salida")),
+    "tipo_declaracion": ("DimTipoDeclaracion", C("tipo_declaracion"), "NULL"),
+}
+CALENDAR_OWN = dict.fromkeys(("fecha_declaracion", "anio", "trimestre", "mes", "nombre_mes", "anio_mes"))
+EXPO_FULL_NAME = f"coalesce({C('pais_destino_final')}, {C('cod_pais_destino_alf')}, {C('cod_pais_destino')})"
+EXPO_FULL_DATE = f"coalesce({D8('fecha_declaracion_exportacion')}, {D8('fech_decla_exportacion_ant')}, {D8('fecha_proceso')})"
+FULL_ROLES = role_rows(*ALL_DIMS).replace(
+    _branch("DimAgenteAduanero", f"coalesce({C('nit_declarante')}, {C('docto_identif_declar')})", name=C("nombre_declarante")),
+    _branch("DimAgenteAduanero", f"coalesce({C('nit_declarante')}, {C('docto_identif_declar')})",
+            name=f"coalesce({C('nombre_declarante')}, {C('razon_social_declarante')})")
+    + " UNION ALL " + _branch("DimAduana", C("cod_aduana_export")))
+IMPO_FULL_OWN = {**IMPO_OWN, **_plain(IMPORT_FACT, IMPORT_RENAMED, {**IMPO_OWN, **CALENDAR_OWN}, IMPO_ALL)}
+EXPO_FULL_OWN = {**EXPO_OWN, "pais_destino": ISO % EXPO_FULL_NAME, "pais_destino_nombre": EXPO_FULL_NAME}
+EXPO_FULL_OWN |= _plain(EXPORT_FACT, EXPORT_RENAMED, {**EXPO_FULL_OWN, **CALENDAR_OWN}, EXPO_ALL)
+sql("fact_importacion_full", "SELECT * FROM f", stg_impo=VIEWS["stg_impo_full"], roles=FULL_ROLES, m=FIRST_FILE, ch=CHAPTERS,
+    f=_fact("stg_impo", IMPORT_FACT, IMPO_ALL, IMPO_FULL_OWN, IMPO_DATE, CODE))
+EXPO_FIRST_ROLES = " UNION ALL ".join(
+    f"SELECT '{dim}' AS dim, {code} AS codigo, NULL AS subcodigo, {name} AS nombre, NULL AS direccion, NULL AS telefono, archivo_origen "
+    f"FROM stg_expo WHERE {code} IS NOT NULL" for dim, code, name in (
+        ("DimAgenteAduanero", C("nit_declarante"), C("razon_social_declarante")),))
+sql("fact_exportacion_full", "SELECT * FROM f", stg_expo=VIEWS["stg_expo_full"], roles=EXPO_FIRST_ROLES, m=FIRST_FILE, ch=CHAPTERS,
+    f=_fact("stg_expo", EXPORT_FACT, EXPO_ALL, EXPO_FULL_OWN, EXPO_FULL_DATE, EXPO_CODE))
 sql("trade_by_chapter", """SELECT anio, capitulo, count(*) AS n, CAST(sum(valor_fob_usd) AS DECIMAL(38,2)) AS valor_fob_usd
     FROM f GROUP BY 1, 2""", "stg_impo", **IMPO_CTES)
 sql("view_fact_alias", "SELECT anio, aduana_presentada, count(*) AS n FROM f GROUP BY 1, 2", "stg_impo", **IMPO_CTES)

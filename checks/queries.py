@@ -586,6 +586,22 @@ def fact_exportacion(spark, sf):
     return plain(export_facts(spark, sf))
 
 
+@query
+def fact_importacion_full(spark, sf):
+    """The fact with every one of its columns fed."""
+    staged = view(spark, sf, "stg_impo_full")
+    members = checkpointed(dm.candidate_members(staged, first_file_wins=True))
+    return plain(fc.fact_importacion(staged, fc.Dictionaries(members)))
+
+
+@query
+def fact_exportacion_full(spark, sf):
+    """The same for exports, which bring all members themselves."""
+    staged = view(spark, sf, "stg_expo_full")
+    members = checkpointed(dm.candidate_members(staged, first_file_wins=True))
+    return plain(fc.fact_exportacion(staged, fc.Dictionaries(members)))
+
+
 @query
 def trade_by_chapter(spark, sf):
     facts = fc.fact_importacion(impo(spark, sf), None, columns=("anio", "capitulo", "valor_fob_usd"))

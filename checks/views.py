@@ -8,11 +8,14 @@ by file, which is how the library keeps them.
 from __future__ import annotations
 
 import hashlib
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from aforo.contracts import FILE
+from aforo.contracts import EXPORT_FACT, EXPORT_SOURCE, FILE, IMPORT_FACT, IMPORT_SOURCE
+from aforo.plans.facts import EXPORT_RENAMED, IMPORT_RENAMED
 from aforo.session import path_exists, shared_dir
 from aforo.sinks.tables import read_table
 
@@ -138,14 +141,57 @@ SELECT 'temporal_impo' AS tabla_origen,
 FROM events
 """
 
+
+
+def _more(narrow: str, source: list[str], kinds: dict[str, T.DataType], key: str, own: dict[str, str]) -> str:
+    """The view with a value, now and then NULL, for every column of the contract that it lacks.
+
+    Texts and numbers differ from column to column, so that no two can be
+    taken for one another.
+    """
+    present = set(re.findall(r" AS (\w+)(?:,?\n|$)", narrow.split("\nFROM ")[0] + "\n"))
+    added = []
+    for i, name in enumerate(c for c in source if c not in present):
+        kind = kinds.get(name)
+        if name in own:
+            value = own[name]
+        elif isinstance(kind, T.DecimalType):
+            value = (f"CAST(({key}) % {1009 + i} AS STRING) || '.' || "
+                     f"lpad(CAST(({key} + {i}) * 7 % {10 ** kind.scale} AS STRING), {kind.scale}, '0')")
+        elif name.startswith("fech"):
+            value = "NULL"
+        else:
+            value = f"' {name} ' || CAST(({key}) % {7 + i} AS STRING)"
+        added.append(f"  CASE WHEN ({key}) % {11 + i} = 0 THEN NULL ELSE {value} END AS {name}")
+    head, tail = narrow.split("\nFROM ", 1)
+    return head + ",\n" + ",\n".join(added) + "\nFROM " + tail
+
+
+def _kinds(fact, renamed: dict[str, str]) -> dict[str, T.DataType]:
+    return {renamed.get(n, n): t for n, t in fact}
+
+
+#: The same rows with all columns of the contracts, for the facts.
+STG_IMPO_FULL = _more(STG_IMPO, IMPORT_SOURCE, _kinds(IMPORT_FACT, IMPORT_RENAMED), "l.l_orderkey + l.l_linenumber", {
+    "cod_aduana_export": "CAST(l.l_partkey % 12 AS STRING)", "cod_administracion_presentada_1": "NULL", "nombre_aduana_1": "NULL",
+})
+STG_EXPO_FULL = _more(STG_EXPO, EXPORT_SOURCE, _kinds(EXPORT_FACT, EXPORT_RENAMED), "o.o_orderkey", {
+    "fech_decla_exportacion_ant": f"CASE WHEN o.o_orderkey % 12 = 6 THEN {_date8('o.o_orderdate')} END",
+    "cod_aduana_salida": "CAST(o.o_orderkey % 5 AS STRING)", "cod_pais_destino": "'PE'",
+})
 VIEWS = {
+    "stg_impo_full": STG_IMPO_FULL, "stg_expo_full": STG_EXPO_FULL,
     "stg_impo": STG_IMPO, "stg_expo": STG_EXPO, "dim_pais": DIM_PAIS, "control_events": CONTROL_EVENTS,
 }
 STORED = ("stg_impo", "stg_expo")
+FULL = ("stg_impo_full", "stg_expo_full")
 
 
 # The table whose rows a staging view follows one to one, and its month.
-DRIVING = {"stg_impo": ("lineitem", "l_shipdate"), "stg_expo": ("orders", "o_orderdate")}
+DRIVING = {
+    "stg_impo": ("lineitem", "l_shipdate"), "stg_expo": ("orders", "o_orderdate"),
+    "stg_impo_full": ("lineitem", "l_shipdate"), "stg_expo_full": ("orders", "o_orderdate"),
+}
 
 
 def _source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -174,7 +220,7 @@ def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name not in STORED:
+    if name not in STORED + FULL:
         return _select(spark, sf_dir, name)
     schema = _select(spark, sf_dir, name).schema
     return read_table(spark, stored_path(spark, sf_dir, name), schema)
