@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -263,13 +264,37 @@ def build_fact(
             "modalidad_exportacion": coalesce_drift("modalidad_exportacion", "cod_modalidad_exportacion"),
             "moneda": default_currency("cod_moneda_transaccion"),
         }
+    copied = {n: (renamed.get(n, n), t) for n, t in wanted if n not in values}
+    df, parsed = _parsed(df, copied, {c.lower() for c in staged.columns})
     return df.select(*[
-        values[name].cast(kind).alias(name) if name in values
-        else _typed(renamed.get(name, name), kind).alias(name)
-        for name, kind in wanted
+        (values[name].cast(kind) if name in values else parsed[name]).alias(name) for name, kind in wanted
     ], *keep)
 
 
+def _each(kind: T.DataType) -> Callable[[Column], Column]:
+    return lambda c: _typed(c, kind)
+
+
+def _parsed(df: DataFrame, copied: dict[str, tuple[str, T.DataType]], present: set[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """Columns that are cleaned or parsed copies of a staged one, and ``df`` with what they need.
+
+    All of one type are parsed by one expression over an array: written out
+    one by one, the columns of a full contract make a method that is too large
+    to be compiled. A column that is not staged is NULL.
+    """
+    columns, groups = {}, {}
+    for name, (source, kind) in copied.items():
+        if source.lower() in present:
+            groups.setdefault(kind.simpleString(), (kind, []))[1].append((name, source))
+        else:
+            columns[name] = F.lit(None).cast(kind)
+    arrays = {}
+    for k, (kind, members) in enumerate(groups.values()):
+        arrays[f"_typed_{k}"] = F.transform(F.array(*[F.col(s) for _, s in members]), _each(kind))
+        columns |= {name: F.get(f"_typed_{k}", F.lit(i)) for i, (name, _) in enumerate(members)}
+    return df.select("*", *[a.alias(n) for n, a in arrays.items()]), columns
+
+
 def fact_importacion(staged: DataFrame, dictionaries: Dictionaries | None, **kw) -> DataFrame:
     return build_fact(staged, dictionaries, IMPORTS, **kw)
 
