@@ -6,7 +6,6 @@ import base64
 from collections.abc import Iterator
 
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +24,9 @@ GROUP = ["source", "lang", "tokenizer"]
 FOLD_AFTER = 64
 
 
-def encoding(vocabulary: bytes) -> tiktoken.Encoding:
+def encoding(vocabulary: bytes):
+    import tiktoken  # only this function needs it
+
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
@@ -99,12 +100,13 @@ class TokenTotals:
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add the signed changes (source, lang, tokenizer, n_tokens, sign); False if the batch was there already."""
         open_ids = self._complete("batch-")
-        if batch in open_ids or batch in self._base()[2]:
+        folded = self._base()[2]
+        if batch in open_ids or batch in folded:
             return False
         sums = changes.groupBy(*GROUP).agg(
             F.sum("sign").cast("long").alias("documents"), F.sum(F.col("sign") * F.col("n_tokens")).cast("long").alias("tokens"))
         sums.write.mode("overwrite").parquet(f"{self.folder}/batch-{batch}")
-        if len(open_ids) >= FOLD_AFTER:
+        if len(open_ids.keys() - folded) >= FOLD_AFTER:
             self.fold()
         return True
 
