@@ -147,3 +147,16 @@ def test_odd_rows_of_scores_and_fingerprints(spark, run):
         assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows)
         assert all("score" not in r or 0 <= r.score <= 1 for r in got)
         assert run(docs.limit(0), labels).count() == 0
+
+
+def test_a_fold_waits_for_unfolded_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokens, "FOLD_AFTER", 2)
+    totals, folds = tokens.TokenTotals(spark, str(tmp_path / "t")), []
+    one = spark.createDataFrame([("a", "en", "words", 5, 1)], "source string, lang string, tokenizer string, n_tokens long, sign int")
+    for k in range(6):
+        assert totals.commit(str(k), one)
+        folds.append(len(totals._complete("folded-")))
+    # Two batches are open before the third commit, which folds all three; the next fold comes three commits later.
+    assert folds == [0, 0, 1, 1, 1, 2]
+    assert not totals.commit("0", one)
+    assert [(r.documents, r.tokens) for r in totals.totals().collect()] == [(6, 30)]
